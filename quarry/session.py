@@ -28,6 +28,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
         .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
     )
