@@ -38,13 +38,17 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rating_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rating stream in load order: one row per lineitem, seq = (orderkey, linenumber)."""
+    """Rating stream in load order: one row per lineitem, seq = (orderkey, linenumber, quantity).
+
+    (orderkey, linenumber) is not unique in the generated data; the quantity
+    breaks the remaining ties so that "last" is well defined.
+    """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"),
         F.col("l_quantity").alias("score"),
-        F.struct(F.col("l_orderkey"), F.col("l_linenumber")).alias("seq"))
+        F.struct(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_quantity")).alias("seq"))
 
 
 def with_split(r: DataFrame, train_buckets: int = 8) -> DataFrame:

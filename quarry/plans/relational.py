@@ -1 +1,100 @@
-"""Registered queries."""
+"""Registered relational operators on the derived ratings."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarry.operators import recsys as RS
+from quarry.plans.derived import rating_events, ratings, table, test_ratings, train_ratings, with_ctes
+from quarry.plans.registry import register
+
+P_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+@register("set_ops", sql=with_ctes("""
+SELECT 'union' AS op, user_id FROM (SELECT user_id FROM train UNION SELECT user_id FROM test)
+UNION ALL SELECT 'intersect', user_id FROM (SELECT user_id FROM train INTERSECT SELECT user_id FROM test)
+UNION ALL SELECT 'train_minus_test', user_id FROM (SELECT user_id FROM train EXCEPT SELECT user_id FROM test)""",
+                                    "train", "test"))
+def q_set_ops(spark, sf_dir):
+    """Union / intersection / difference of the user sets of train and test."""
+    a = train_ratings(spark, sf_dir).select("user_id")
+    b = test_ratings(spark, sf_dir).select("user_id")
+    return (a.union(b).distinct().select(F.lit("union").alias("op"), "user_id")
+            .unionByName(a.intersect(b).select(F.lit("intersect").alias("op"), "user_id"))
+            .unionByName(a.subtract(b).select(F.lit("train_minus_test").alias("op"), "user_id")))
+
+
+@register("user_item_lists", sql=with_ctes("""
+SELECT user_id, CAST(count(*) AS INTEGER) AS n_items,
+       array_to_string(list_sort(list(CAST(item_id AS VARCHAR))), ',') AS items
+FROM ratings GROUP BY user_id""", "ratings"))
+def q_user_item_lists(spark, sf_dir):
+    """The items of every user as a sorted list (the N(u) sets of SVD++)."""
+    r = ratings(spark, sf_dir)
+    lists = r.groupBy("user_id").agg(F.sort_array(F.collect_list(F.col("item_id").cast("string"))).alias("_l"))
+    return lists.select("user_id", F.size("_l").alias("n_items"), F.concat_ws(",", "_l").alias("items"))
+
+
+def _pivot_sql():
+    cols = ", ".join(f"round(coalesce(avg(score) FILTER (WHERE p_type = '{t}'), 0), 9) AS \"{t}\"" for t in P_TYPES)
+    return with_ctes(f"SELECT user_id, {cols} FROM ratings JOIN part ON item_id = p_partkey GROUP BY user_id",
+                     "ratings")
+
+
+@register("rating_pivot", sql=_pivot_sql)
+def q_rating_pivot(spark, sf_dir):
+    """Long -> wide (user x part type, mean score, 0 = none) for a small value domain."""
+    r = ratings(spark, sf_dir).join(table(spark, sf_dir, "part").select("p_partkey", "p_type"),
+                                    F.col("item_id") == F.col("p_partkey"))
+    w = r.groupBy("user_id").pivot("p_type", P_TYPES).agg(F.avg("score")).fillna(0.0)
+    for t in P_TYPES:
+        w = w.withColumn(t, F.round(t, 9))
+    return w
+
+
+@register("dense_ids", sql=with_ctes("""
+SELECT user_id, CAST(dense_rank() OVER (ORDER BY user_id) - 1 AS BIGINT) AS idx
+FROM (SELECT DISTINCT user_id FROM ratings)""", "ratings"))
+def q_dense_ids(spark, sf_dir):
+    """Dense 0-based user index in id order."""
+    return RS.dense_ids(ratings(spark, sf_dir), "user_id")
+
+
+@register("ratings_latest", sql="""
+SELECT user_id, item_id, score FROM (
+  SELECT o_custkey AS user_id, l_partkey AS item_id, l_quantity AS score,
+         row_number() OVER (PARTITION BY o_custkey, l_partkey ORDER BY l_orderkey DESC, l_linenumber DESC, l_quantity DESC) AS rn
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey) WHERE rn = 1""")
+def q_ratings_latest(spark, sf_dir):
+    """Last write wins per (user, item) in load order (orderkey, linenumber, quantity)."""
+    return RS.latest_ratings(rating_events(spark, sf_dir))
+
+
+SPLIT_KEY = "('0x' || substr(md5(CAST(user_id AS VARCHAR) || '|' || CAST(item_id AS VARCHAR)), 1, 8))::BIGINT"
+
+
+@register("split_random", sql=with_ctes(f"SELECT user_id, item_id, ({SPLIT_KEY} % 10) < 8 AS is_train FROM ratings",
+                                         "ratings"))
+def q_split_random(spark, sf_dir):
+    """Stable 80/20 split."""
+    return RS.split_random(ratings(spark, sf_dir)).select("user_id", "item_id", "is_train")
+
+
+@register("split_stratified", sql=with_ctes("""
+SELECT user_id, item_id, rn <= greatest(1, floor(n * 0.8)) AS is_train FROM (
+  SELECT user_id, item_id,
+         row_number() OVER (PARTITION BY user_id ORDER BY md5(CAST(user_id AS VARCHAR) || '|' || CAST(item_id AS VARCHAR)), item_id) AS rn,
+         count(*) OVER (PARTITION BY user_id) AS n
+  FROM ratings)""", "ratings"))
+def q_split_stratified(spark, sf_dir):
+    """80 % of every user's rows in train (at least one)."""
+    return RS.split_stratified(ratings(spark, sf_dir)).select("user_id", "item_id", "is_train")
+
+
+@register("split_by_user", sql=with_ctes("""
+SELECT user_id, item_id, (('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % 10) < 8 AS is_train
+FROM ratings""", "ratings"))
+def q_split_by_user(spark, sf_dir):
+    """Whole users in train or test."""
+    return RS.split_by_user(ratings(spark, sf_dir)).select("user_id", "item_id", "is_train")
