@@ -17,8 +17,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-HEADLINE = ["pagerank", "hits", "near_duplicates", "frequent_itemsets", "kmeans_fixed_iters",
-            "user_cosine", "rating_profile", "fallback_scores"]
+HEADLINE = ["rating_profile", "pagerank", "hits", "near_duplicates", "frequent_itemsets", "kmeans_fixed_iters",
+            "user_cosine", "fallback_scores"]
 
 
 def main() -> None:

@@ -134,7 +134,8 @@ def apriori(basket_items: DataFrame, min_support: float, max_k: int | None = Non
     """D3: all frequent itemsets, levels concatenated; stops at the first empty level.
 
     The driver loop holds only the level number; each level's sets and
-    containment are checkpointed (reliable); emptiness is a ``limit(1)`` probe.
+    containment are checkpointed (reliable; nested cached plans re-plan slowly);
+    emptiness is a ``limit(1)`` probe.
     """
     basket_items = materialize(basket_items)  # read by every level
     level = cut_lineage(frequent_items(basket_items, min_support))

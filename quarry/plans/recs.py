@@ -255,3 +255,76 @@ def q_rmse(spark, sf_dir):
         row = RS.rmse(p, te).select(F.lit(name).alias("model"), "n", F.round("rmse", DIG).alias("rmse"))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+# ---------------------------------------------------------------- graph propagation
+
+GCN_DIM = 4
+
+
+def _gcn_sql(weighted: bool, eps: float, layers: int | None, body: str) -> str:
+    a = "score" if weighted else dbl(1.0)
+    ctes = {
+        "e": f"""SELECT 'u:' || CAST(user_id AS VARCHAR) AS src, 'i:' || CAST(item_id AS VARCHAR) AS dst, {a} AS a FROM train
+                 UNION ALL SELECT 'i:' || CAST(item_id AS VARCHAR), 'u:' || CAST(user_id AS VARCHAR), {a} FROM train""",
+        "deg": "SELECT src, sum(a) AS d FROM e GROUP BY src",
+        "ne": f"""SELECT e.src, e.dst, e.a / sqrt((ds.d + {dbl(eps)}) * (dd.d + {dbl(eps)})) AS w
+                  FROM e JOIN deg ds ON ds.src = e.src JOIN deg dd ON dd.src = e.dst""",
+    }
+    if layers:
+        ctes["nodes"] = "SELECT DISTINCT src AS node FROM e"
+        ctes["l0"] = f"""SELECT node, CAST(f AS INTEGER) AS f,
+            ((('0x' || substr(md5('42|' || node || '|' || CAST(f AS VARCHAR)), 1, 8))::BIGINT / {dbl(4294967296.0)}
+              - {dbl(0.5)}) * {dbl(0.2)}) AS val FROM nodes CROSS JOIN range(0, {GCN_DIM}) t(f)"""
+        for k in range(1, layers + 1):
+            ctes[f"l{k}"] = (f"SELECT ne.dst AS node, x.f, sum(ne.w * x.val) AS val FROM ne JOIN l{k - 1} x "
+                             f"ON x.node = ne.src GROUP BY ne.dst, x.f")
+        tot = "l0.val" + "".join(f" + coalesce(l{k}.val, {dbl(0.0)})" for k in range(1, layers + 1))
+        joins = "".join(f" LEFT JOIN l{k} ON l{k}.node = l0.node AND l{k}.f = l0.f" for k in range(1, layers + 1))
+        ctes["fin"] = f"SELECT l0.node, l0.f, ({tot}) / {dbl(layers + 1)} AS val FROM l0{joins}"
+    return with_ctes(body, "train", "test", extra=ctes)
+
+
+def _gcn(spark, sf_dir, weighted, eps, layers):
+    from quarry.operators import gcn
+    tr = train_ratings(spark, sf_dir)
+    ne = gcn.normalized_edges(gcn.bipartite_edges(tr, "score" if weighted else None), eps)
+    if layers is None:
+        return ne
+    nodes = ne.select(F.col("src").alias("node")).distinct()
+    return gcn.propagate(ne, gcn.seeded_embeddings(nodes, GCN_DIM), layers)
+
+
+@register("gcn_norm_edges", sql=lambda: _gcn_sql(False, 0.0, None, "SELECT src, dst, round(w, 9) AS w FROM ne"))
+def q_gcn_norm(spark, sf_dir):
+    """D^-1/2 A D^-1/2 of the train bipartite graph (edge weight 1)."""
+    return _r(_gcn(spark, sf_dir, False, 0.0, None), "w")
+
+
+@register("gcn_norm_edges_weighted", sql=lambda: _gcn_sql(True, 1e-10, None, "SELECT src, dst, round(w, 9) AS w FROM ne"))
+def q_gcn_norm_w(spark, sf_dir):
+    """Ratings as edge weights, degree + 1e-10."""
+    return _r(_gcn(spark, sf_dir, True, 1e-10, None), "w")
+
+
+@register("gcn_propagate", sql=lambda: _gcn_sql(False, 0.0, 3, "SELECT node, f, round(val, 9) AS val FROM fin"))
+def q_gcn_prop(spark, sf_dir):
+    """Mean of layers 0..3 of A_hat propagation from seeded embeddings."""
+    return _r(_gcn(spark, sf_dir, False, 0.0, 3), "val")
+
+
+@register("gcn_propagate_weighted", sql=lambda: _gcn_sql(True, 0.0, 2, "SELECT node, f, round(val, 9) AS val FROM fin"))
+def q_gcn_prop_w(spark, sf_dir):
+    """Rating-weighted adjacency, two layers."""
+    return _r(_gcn(spark, sf_dir, True, 0.0, 2), "val")
+
+
+@register("gcn_scores", sql=lambda: _gcn_sql(False, 0.0, 3, """
+SELECT t.user_id, t.item_id, round(sum(u.val * i.val), 9) AS score FROM test t
+JOIN fin u ON u.node = 'u:' || CAST(t.user_id AS VARCHAR)
+JOIN fin i ON i.node = 'i:' || CAST(t.item_id AS VARCHAR) AND i.f = u.f GROUP BY t.user_id, t.item_id"""))
+def q_gcn_scores(spark, sf_dir):
+    """H12 scoring: dot product of propagated user and item embeddings for the test pairs."""
+    from quarry.operators import gcn
+    emb = _gcn(spark, sf_dir, False, 0.0, 3)
+    return _r(gcn.score_pairs(emb, test_ratings(spark, sf_dir)), "score")
