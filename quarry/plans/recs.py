@@ -328,3 +328,39 @@ def q_gcn_scores(spark, sf_dir):
     from quarry.operators import gcn
     emb = _gcn(spark, sf_dir, False, 0.0, 3)
     return _r(gcn.score_pairs(emb, test_ratings(spark, sf_dir)), "score")
+
+
+GRID = (0.0, 2.0, 5.0, 10.0, 25.0)
+
+
+def _grid_sql() -> str:
+    parts, extra = [], {}
+    for g, reg in enumerate(GRID):
+        extra[f"mu{g}"] = "SELECT avg(score) AS mu FROM train"
+        extra[f"bi{g}"] = (f"SELECT item_id, sum(score - mu) / ({dbl(reg)} + count(*)) AS b_i "
+                           f"FROM train CROSS JOIN mu{g} GROUP BY item_id")
+        extra[f"bu{g}"] = (f"SELECT user_id, sum(score - mu - b_i) / ({dbl(reg)} + count(*)) AS b_u "
+                           f"FROM train JOIN bi{g} USING (item_id) CROSS JOIN mu{g} GROUP BY user_id")
+        pred = ("CASE WHEN bu.b_u IS NOT NULL AND bi.b_i IS NOT NULL THEN mu + bu.b_u + bi.b_i "
+                "WHEN bu.b_u IS NOT NULL THEN mu + bu.b_u WHEN bi.b_i IS NOT NULL THEN mu + bi.b_i ELSE mu END")
+        parts.append(f"""SELECT {dbl(reg)} AS reg, count(*) AS n, round(sqrt(avg(pow(t.score - ({pred}), 2))), {DIG}) AS rmse
+            FROM test t LEFT JOIN bu{g} bu ON bu.user_id = t.user_id LEFT JOIN bi{g} bi ON bi.item_id = t.item_id
+            CROSS JOIN mu{g}""")
+    body = " UNION ALL ".join(parts)
+    return with_ctes(f"SELECT reg, n, rmse, CAST(rank() OVER (ORDER BY rmse, reg) AS INTEGER) AS rank FROM ({body})",
+                     "train", "test", extra=extra)
+
+
+@register("grid_results", sql=_grid_sql)
+def q_grid(spark, sf_dir):
+    """Grid over the bias model's regularisation; validation RMSE per setting and its rank."""
+    from pyspark.sql import Window as W
+    tr, te = train_ratings(spark, sf_dir), test_ratings(spark, sf_dir)
+    out = None
+    for reg in GRID:
+        mu, bi, bu = RS.bias_model(tr, reg, reg)
+        row = RS.rmse(RS.fallback_scores(te, mu, bi, bu), te).select(
+            F.lit(reg).alias("reg"), "n", F.round("rmse", DIG).alias("rmse"))
+        out = row if out is None else out.unionByName(row)
+    # a five-row table: the global window is over the grid, not the data
+    return out.withColumn("rank", F.rank().over(W.orderBy("rmse", "reg")))

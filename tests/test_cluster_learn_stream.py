@@ -68,3 +68,13 @@ def test_reservoir_stream_equals_batch(spark):
     state = scratch_path(spark, "res-state")
     S.reservoir_stream(stream, 5, ["v"], state, scratch_path(spark, "res-ckpt")).awaitTermination()
     assert sorted(r.v for r in S.latest_version(spark, state).collect()) == batch
+
+
+def test_mlp_early_stopping_keeps_best(spark):
+    df = blobs(spark, 60).withColumn("y", (F.col("id") % 3 == 1).cast("double"))
+    log = []
+    p = L.mlp_fit(df, 3, lr=0.5, epochs=6, valid=df, patience=2, log=log)
+    assert set(p) == {"W1", "b1", "W2", "b2"} and 1 <= len(log) <= 6
+    best = min(v for _, v in log)
+    got = L.bce(df.select("y", L.mlp_forward_expr("x", p).alias("p"))).first()[0]
+    assert got == pytest.approx(best, abs=1e-12)

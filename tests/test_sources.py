@@ -64,3 +64,17 @@ def test_edge_list_and_top_k_sink(spark):
     out = scratch_path(spark, "top")
     edges_text.write_top_k_tsv(pr, out, k=3)
     assert spark.read.csv(out, sep="\t").count() == 3
+
+
+def test_params_and_csv_round_trip(spark):
+    import numpy as np
+    from quarry.sources import models
+    p = {"W1": np.arange(6.0).reshape(2, 3), "b": np.array([1.5])}
+    path = scratch_path(spark, "params")
+    models.save_params(spark, p, path)
+    q = models.load_params(spark, path)
+    assert np.array_equal(q["W1"], p["W1"]) and np.array_equal(q["b"], p["b"])
+    df = spark.createDataFrame([(1, 2.5)], "user_id long, pred double")
+    out = scratch_path(spark, "csv")
+    models.write_csv(df, out)
+    assert spark.read.option("header", True).csv(out).count() == 1
