@@ -6,8 +6,9 @@ tables so that every query's work grows with the data:
 
 - ratings:  o_custkey -> user_id, l_partkey -> item_id, avg(l_quantity) -> score
 - baskets:  per l_orderkey the distinct p_brand values (lineitem x part)
-- edges:    distinct (l_suppkey, l_partkey mod #supplier) where l_quantity = 50;
-            vertices = supplier keys (dangling suppliers have no edge row)
+- edges:    distinct (l_suppkey, l_partkey mod #supplier) where l_quantity = 50,
+            for suppliers outside every fifth nation; vertices = supplier keys
+            (the others are dangling: no edge row)
 - points:   embeddings.embedding (as doubles), labelled y = label >= 5
 - splits:   md5 of 'user|item' -> first 8 hex digits mod 10 < 8 means train
 
@@ -76,8 +77,12 @@ def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n_sup = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("n_sup"))
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") == 50).select("l_suppkey", "l_partkey")
+    sup = table(spark, sf_dir, "supplier")
+    n_sup = sup.agg(F.count(F.lit(1)).alias("n_sup"))
+    # suppliers of every fifth nation have no out-links: dangling vertices
+    linking = sup.where(F.col("s_nationkey") % 5 != 0).select(F.col("s_suppkey").alias("l_suppkey"))
+    li = (table(spark, sf_dir, "lineitem").where(F.col("l_quantity") == 50).select("l_suppkey", "l_partkey")
+          .join(linking, "l_suppkey", "left_semi"))
     return (li.crossJoin(F.broadcast(n_sup))  # one-row scalar
             .select(F.col("l_suppkey").alias("src"), F.pmod(F.col("l_partkey"), F.col("n_sup")).alias("dst"))
             .distinct())
@@ -111,7 +116,8 @@ SQL = {
     "vertices": "SELECT s_suppkey AS id FROM supplier",
     "edges": """
         SELECT DISTINCT l_suppkey AS src, l_partkey % (SELECT count(*) FROM supplier) AS dst
-        FROM lineitem WHERE l_quantity = 50""",
+        FROM lineitem WHERE l_quantity = 50
+          AND l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey % 5 <> 0)""",
     "points": "SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x, label FROM embeddings",
 }
 

@@ -1,7 +1,8 @@
 """Registered link-analysis queries on the derived supplier graph.
 
 Graph: vertices = supplier keys; edges = distinct (l_suppkey, l_partkey mod
-#supplier) over lineitems with l_quantity = 50.  Loops run a fixed number of
+#supplier) over lineitems with l_quantity = 50 of suppliers whose nation key is
+not a multiple of 5 (the rest are dangling vertices).  Loops run a fixed number of
 rounds (tol=0) so the unrolled DuckDB chains compute the same vector.
 Topic set: suppliers of nations in region ASIA.  Trusted set: suppliers with
 s_acctbal > 9000.
