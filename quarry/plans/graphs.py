@@ -228,3 +228,19 @@ def q_link_report(spark, sf_dir):
     allr = allr.withColumn("score", F.round("score", DIGITS))
     w = W.partitionBy("algo").orderBy(F.col("score").desc(), F.col("id").asc())
     return allr.withColumn("rank", F.row_number().over(w))
+
+
+def _convergence_sql():
+    base, ctes, _ = _pr_sql()
+    parts = [f"SELECT CAST({t} AS INTEGER) AS round, round(sum(abs(a.pr - b.pr)), {DIGITS}) AS l1_change "
+             f"FROM p_r{t} a JOIN p_r{t - 1} b ON a.id = b.id" for t in range(1, ROUNDS + 1)]
+    return with_clause(base + ctes) + "\nUNION ALL\n".join(parts)
+
+
+@register("pagerank_convergence", sql=_convergence_sql)
+def q_pagerank_convergence(spark, sf_dir):
+    """The loop's convergence log (round, L1 change) with the stop test every round."""
+    v, e = _g(spark, sf_dir)
+    _, log = G.pagerank(v, e, D, ROUNDS, tol=1e-15, check_every=1, return_log=True)
+    rows = [(int(r), float(d)) for r, d in log.history]
+    return spark.createDataFrame(rows, "round int, l1_change double").withColumn("l1_change", F.round("l1_change", DIGITS))
