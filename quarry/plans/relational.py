@@ -98,3 +98,15 @@ FROM ratings""", "ratings"))
 def q_split_by_user(spark, sf_dir):
     """Whole users in train or test."""
     return RS.split_by_user(ratings(spark, sf_dir)).select("user_id", "item_id", "is_train")
+
+
+@register("ratings_shuffled", sql=with_ctes("""
+SELECT user_id, item_id,
+       CAST(row_number() OVER (ORDER BY md5('42|' || CAST(user_id AS VARCHAR) || '|' || CAST(item_id AS VARCHAR))) - 1 AS BIGINT) AS pos
+FROM ratings""", "ratings"))
+def q_ratings_shuffled(spark, sf_dir):
+    """A stable global shuffle (md5 order) with each row's position, without a single-task window."""
+    r = ratings(spark, sf_dir).withColumn(
+        "_k", F.md5(F.concat_ws("|", F.lit("42"), F.col("user_id").cast("string"), F.col("item_id").cast("string"))))
+    pos = RS.dense_ids(r, "_k", "pos")
+    return r.join(pos, "_k").select("user_id", "item_id", "pos")
