@@ -165,8 +165,8 @@ def spam_mass(pr: DataFrame, tr: DataFrame, graph_col: str | None = None) -> Dat
 
 
 def hits(vertices: DataFrame, edges: DataFrame, max_iter: int = 100, tol: float | None = 1e-6,
-         norm_stop: str = "l1_sum", graph_col: str | None = None, check_every: int = 3,
-         checkpoint_every: int = 3, return_log: bool = False):
+         norm_stop: str = "l1_sum", graph_col: str | None = None, check_every: int = 2,
+         checkpoint_every: int = 2, return_log: bool = False):
     """HITS authority/hub (G9, G10).  Returns (id, authority, hub).
 
     a' = L^T h, h' = L a' (from the un-normalised a'), both L2-normalised (a zero
