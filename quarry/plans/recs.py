@@ -364,3 +364,17 @@ def q_grid(spark, sf_dir):
         out = row if out is None else out.unionByName(row)
     # a five-row table: the global window is over the grid, not the data
     return out.withColumn("rank", F.rank().over(W.orderBy("rmse", "reg")))
+
+
+@register("scaled_scores", sql=with_ctes(f"""
+SELECT user_id, item_id, round(z, {DIG}) AS z, round(scaled, {DIG}) AS scaled,
+       CAST(least(greatest(round_even(scaled, 0), {dbl(20.0)}), {dbl(100.0)}) AS INTEGER) AS rating
+FROM (SELECT user_id, item_id, z, least(greatest({dbl(40.0)} + {dbl(30.0)} * z, {dbl(20.0)}), {dbl(100.0)}) AS scaled
+      FROM (SELECT user_id, item_id, (score - m) / s AS z FROM ratings
+            CROSS JOIN (SELECT avg(score) AS m, stddev_samp(score) AS s FROM ratings)))""", "ratings"))
+def q_scaled_scores(spark, sf_dir):
+    """Z-score, linear scale 40 + 30 z clamped to [20, 100], half-even integer rating."""
+    from quarry.functions.scalar import round_clamp_int, scale_score
+    z = RS.zscore_ratings(ratings(spark, sf_dir)).withColumn("scaled", scale_score(F.col("z")))
+    out = z.select("user_id", "item_id", "z", "scaled", round_clamp_int(F.col("scaled")).alias("rating"))
+    return _r(out, "z", "scaled")
