@@ -37,9 +37,10 @@ def main(argv: list[str] | None = None) -> int:
 
     from pyspark.sql import SparkSession
 
-    from quarry.session import ensure_checkpoint_dir, local_session
+    from quarry.session import ensure_checkpoint_dir, local_session, ship_package
     spark = local_session(args.local) if args.local else SparkSession.builder.getOrCreate()
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     df = reg[args.query].build(spark, args.data)
     if args.format == "parquet":
         df.write.mode("overwrite").parquet(args.out)
