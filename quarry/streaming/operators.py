@@ -10,7 +10,7 @@ K2 BFR over a chunk stream: every micro-batch is a chunk; state = the k DS
 K3 rating upserts: last write wins per (user, item) -- a streaming aggregate
    (``max_by`` over the load sequence) whose state lives in Spark's state store.
 
-foreachBatch state is versioned by batch id (``v=<id>``): a replayed batch
+foreachBatch state is versioned by batch id (``state_version=<id>``): a replayed batch
 rewrites its own version from version id-1, so re-execution after a failure
 is idempotent.
 """
@@ -35,8 +35,11 @@ def reservoir_sample(df: DataFrame, k: int, key_cols: list[str], seed: int = 42)
     return df.withColumn("_key", sample_key(key_cols, seed)).orderBy("_key", *key_cols).limit(k).drop("_key")
 
 
+VERSION_COL = "state_version"
+
+
 def _versioned(path: str, batch_id: int) -> str:
-    return f"{path}/v={batch_id}"
+    return f"{path}/{VERSION_COL}={batch_id}"
 
 
 def _read_version(spark: SparkSession, path: str, batch_id: int, schema: str | None):
@@ -70,11 +73,14 @@ def reservoir_stream(stream: DataFrame, k: int, key_cols: list[str], state_path:
 
 
 def latest_version(spark: SparkSession, path: str) -> DataFrame:
-    """Read the highest ``v=<id>`` version of a foreachBatch state folder."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    ids = [int(st.getPath().getName()[2:]) for st in fs.listStatus(jvm_path) if st.getPath().getName().startswith("v=")]
-    return spark.read.parquet(_versioned(path, max(ids)))
+    """Read the highest ``state_version=<id>`` version of a foreachBatch state folder.
+
+    The versions are partition folders, so partition discovery exposes the
+    version column; the newest version is a one-row aggregate (broadcast).
+    """
+    allv = spark.read.parquet(path)
+    top = allv.select(F.max(VERSION_COL).alias("_top"))
+    return allv.join(F.broadcast(top), allv[VERSION_COL] == top["_top"]).drop(VERSION_COL, "_top")
 
 
 def upsert_stream(stream: DataFrame, key_cols: list[str], value_col: str, seq_col: str, query_name: str,
