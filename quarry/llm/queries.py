@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, line_dedup, shards, winnow
+from quarry.llm import bpe, line_dedup, minhash, shards, winnow
 from quarry.llm.common import table
 
 
@@ -75,10 +75,31 @@ FROM d LEFT JOIN p ON d.doc_id = p.doc_id LEFT JOIN q ON d.doc_id = q.doc_id
 """
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate documents on four-word shingles at a similarity of 0.8."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
+OP10_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+3], ' ') AS t
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.t = y.t AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(id, node) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.id, e.b FROM r JOIN e ON r.node = e.a),
+c AS (SELECT id, min(node) AS component_id FROM r GROUP BY id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN c ON c.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_line_dedup": op1_line_dedup, "op6_byte_bpe": op6_byte_bpe, "op8_sharding": op8_sharding,
-            "op9_decontamination": op9_decontamination}
+            "op9_decontamination": op9_decontamination, "op10_minhash": op10_minhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op9_decontamination": OP9_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op9_decontamination": OP9_SQL, "op10_minhash": OP10_SQL}
