@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, line_dedup, minhash, shards, winnow
+from quarry.llm import bpe, line_dedup, minhash, shards, toxicity, vector_dedup, winnow
 from quarry.llm.common import table
 
 
@@ -38,6 +38,35 @@ FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id
 """
 
 
+def op2_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings of one label with a cosine of at least 0.93."""
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP2_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+        AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.93),
+r(id, node) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.id, l.b FROM r JOIN l ON r.node = l.a),
+c AS (SELECT id, min(node) AS component_id FROM r GROUP BY id),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON c.id = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document."""
+    docs = table(spark, sf_dir, "documents")
+    model, limits = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    out = toxicity.score(docs, model, also=("doc_id", "lang"))
+    held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(5)) == 0
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                      (F.col("score") >= toxicity.threshold_of(F.col("lang"), limits)).alias("rejected"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of every text, encoded and decoded again, as digests."""
     return bpe.token_digests(table(spark, sf_dir, "documents"), vocabulary(spark))
@@ -97,9 +126,10 @@ FROM d JOIN c ON c.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_line_dedup": op1_line_dedup, "op6_byte_bpe": op6_byte_bpe, "op8_sharding": op8_sharding,
+    return {"op1_line_dedup": op1_line_dedup, "op2_vector_dedup": op2_vector_dedup,
+            "op4_toxicity": op4_toxicity, "op6_byte_bpe": op6_byte_bpe, "op8_sharding": op8_sharding,
             "op9_decontamination": op9_decontamination, "op10_minhash": op10_minhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op9_decontamination": OP9_SQL, "op10_minhash": OP10_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op2_vector_dedup": OP2_SQL, "op9_decontamination": OP9_SQL, "op10_minhash": OP10_SQL}
