@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, line_dedup, minhash, shards, toxicity, vector_dedup, winnow
+from quarry.llm import bpe, chat, line_dedup, minhash, resampling, secrets, shards, toxicity, vector_dedup, winnow
 from quarry.llm.common import table
 
 
@@ -57,6 +57,32 @@ FROM embeddings JOIN c ON c.id = vec_id LEFT JOIN n ON n.a = vec_id
 """
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that says control strings, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")],
+                                   rows.schema)
+    read = chat.read_chats(chat.format_chats(rows.unionByName(tricky)))
+    turns = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
+                       F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+OP3_SQL = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+       sum(22 + length(role) + length(text)
+           + len(regexp_extract_all(role, '\\|<s>|</s>|\[INST\]|\[/INST\]'))
+           + len(regexp_extract_all(text, '\\|<s>|</s>|\[INST\]|\[/INST\]')))::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every document."""
     docs = table(spark, sf_dir, "documents")
@@ -67,6 +93,19 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("score") >= toxicity.threshold_of(F.col("lang"), limits)).alias("rejected"))
 
 
+def op5_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents resampled towards those labelled good; as large a share as labels find good."""
+    labels = table(spark, sf_dir, "labels").where("quality IN (0, 1)")
+    share = labels.agg(F.avg("quality")).first()[0]
+    return resampling.resample(table(spark, sf_dir, "documents"), labels.where("quality = 1"),
+                               0.5 if share is None else share)
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings of the secret scan in all documents."""
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("value")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of every text, encoded and decoded again, as digests."""
     return bpe.token_digests(table(spark, sf_dir, "documents"), vocabulary(spark))
@@ -127,9 +166,10 @@ FROM d JOIN c ON c.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_line_dedup": op1_line_dedup, "op2_vector_dedup": op2_vector_dedup,
-            "op4_toxicity": op4_toxicity, "op6_byte_bpe": op6_byte_bpe, "op8_sharding": op8_sharding,
+            "op3_chat_format": op3_chat_format, "op4_toxicity": op4_toxicity, "op5_quality_resampling": op5_quality_resampling,
+            "op7_secret_scan": op7_secret_scan, "op6_byte_bpe": op6_byte_bpe, "op8_sharding": op8_sharding,
             "op9_decontamination": op9_decontamination, "op10_minhash": op10_minhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op2_vector_dedup": OP2_SQL, "op9_decontamination": OP9_SQL, "op10_minhash": OP10_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op2_vector_dedup": OP2_SQL, "op3_chat_format": OP3_SQL, "op9_decontamination": OP9_SQL, "op10_minhash": OP10_SQL}
