@@ -40,3 +40,12 @@ def packed(df: DataFrame, name: str = "_row") -> Column:
 def unpacked(df: DataFrame, columns: list[str], name: str = "_row", **replaced: Column) -> DataFrame:
     """The columns of a packed row again, some of them replaced."""
     return df.select(*[(replaced[c] if c in replaced else F.col(f"{name}.`{c}`")).alias(c) for c in columns])
+
+
+def small_enough(df: DataFrame, rows: int, per_row: Column | None = None) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows (or units of ``per_row``), else as it is.
+
+    ``df`` should be a written table of a few numbers a row, so that counting is cheap and the bound holds in bytes.
+    """
+    n = df.count() if per_row is None else df.agg(F.coalesce(F.sum(per_row), F.lit(0))).first()[0]
+    return F.broadcast(df) if n <= rows else df

@@ -17,9 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import packed, unpacked
+from quarry.llm.common import packed, small_enough, written
 
 WINDOW = 3
+BROADCAST_LINES = 2_000_000
 
 
 def _windows(lines: Column) -> Column:
@@ -53,7 +54,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with the text rid of repeated windows, and two further long columns: lines before, lines removed."""
     columns = [c for c in docs.columns if c not in added]
     rows = docs.select(packed(docs), F.col(f"`{id_col}`").alias("_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("_hash"))
-    cover = covered_lines(docs, id_col, text_col).withColumnsRenamed({"_id": "_cid", "_hash": "_chash"})
+    cover = written(covered_lines(docs, id_col, text_col).withColumnsRenamed({"_id": "_cid", "_hash": "_chash"}), "lines")
+    cover = small_enough(cover, BROADCAST_LINES, F.size("covered") + 4)   # line numbers; else the texts are shuffled
     both = rows.join(cover, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_hash") == F.col("_chash")), "left")
     text = F.col(f"_row.`{text_col}`")
     lines = F.split(text, "\n", -1)

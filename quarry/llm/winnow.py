@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import written
+from quarry.llm.common import small_enough, written
 
 SPAN = 10          # words of a benchmark window
 K = 5              # words of a hashed k-gram
@@ -72,7 +72,7 @@ def contaminated_words(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     def bounded(df: DataFrame) -> DataFrame:       # a shuffle join for larger benchmarks
         return F.broadcast(df) if small else df
 
-    hits = (_split_print(index.dropDuplicates(key), *key).join(bounded(item_prints), "print")
+    hits = (_split_print(index, *key).join(bounded(item_prints), "print")
             .select(*key, "at", "item_no", "item_at", F.lit(K).alias("length")))
     lengths = [r[0] for r in bench.where(F.size("words") < SPAN).select(F.size("words")).distinct().collect()]
     if lengths:                                    # at most SPAN - 1 of them
@@ -85,10 +85,10 @@ def contaminated_words(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
         found = grams.select(*key, "length", F.explode(runs).alias("_r")).select(*key, "length", "_r.at", "_r.print")
         hits = hits.unionByName(found.join(bounded(short), ["length", "print"])
                                 .select(*key, "at", "item_no", F.lit(0).alias("item_at"), "length"))
-    hits = written(hits, "winnow-hits")
+    hits = written(hits.distinct(), "winnow-hits")
+    hit_keys = written(hits.select(F.col("_id").alias("_i"), F.col("_hash").alias("_h")).distinct(), "winnow-keys")
 
-    hit_docs = (given.join(hits.select(F.col("_id").alias("_i"), F.col("_hash").alias("_h")).distinct(),
-                           F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")), "left_semi")
+    hit_docs = (given.join(small_enough(hit_keys, BROADCAST_ROWS), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")), "left_semi")
                 .dropDuplicates(key).select(F.col("_id").alias("_i"), F.col("_hash").alias("_h"),
                                             words_of(F.col("_text")).alias("words")))
     around = (hits.join(hit_docs, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")))
@@ -114,7 +114,7 @@ def contaminated_words(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no window of any item, with all their columns."""
-    bad = contaminated_words(docs, items, id_col, text_col).where("contaminated").select(
-        F.col(id_col).alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
+    bad = written(contaminated_words(docs, items, id_col, text_col).where("contaminated").select(
+        F.col(id_col).alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct(), "winnow-bad")
     same = F.col(f"`{id_col}`").eqNullSafe(F.col("_bad_id")) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col("_bad_hash"))
-    return docs.join(bad, same, "left_anti")
+    return docs.join(small_enough(bad, BROADCAST_ROWS), same, "left_anti")
