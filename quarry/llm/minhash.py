@@ -8,10 +8,10 @@ At a similarity of 0.8 a pair shares no bucket with a chance of about 3 in a mil
 Documents with equal sets are one class, found by a 128-bit digest of the set.
 In a bucket the class with the smallest id is compared with all others on the
 full sets; components of these links come next, and then only pairs of
-different components that share a bucket are compared.  So a large group of near
-copies costs a few comparisons per member, and no link between two components is
-lost.  Only the pairs of classes that share a bucket and differ in component are
-ever listed.
+buckets that still hold several components are compared, block by block as
+matrices that give at most an edge per row.  So a large group of near copies
+costs a few comparisons per member, no link between two components is lost, and
+the pairs of a bucket are never listed.
 
 Defined cases: null or empty texts (or texts without words) have an empty set
 and are linked with nothing; fewer words than a shingle has are one shingle; rows
@@ -31,11 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm import textnum as tn
-from quarry.llm.common import written
+from quarry.llm.common import small_enough, written
 from quarry.llm.components import connected_components
 
 PERMUTATIONS = 48
 ROWS = 4
+BLOCK_ROWS = 256
+BROADCAST_IDS = 1_000_000
 BANDS = 2 * PERMUTATIONS // ROWS
 _random = np.random.default_rng(11)
 _XOR = _random.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64)
@@ -134,6 +136,98 @@ def _full_sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataF
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
+def _intersections(at: np.ndarray, code: np.ndarray, n: int) -> np.ndarray:
+    """Sizes (n, n) of the common parts of n sets, given as (row, code of the member) with codes from 0."""
+    often = np.bincount(code) > 1
+    place = np.cumsum(often) - 1
+    at, code = at[often[code]], place[code[often[code]]]
+    order = np.argsort(code, kind="stable")
+    at, code = at[order], code[order]
+    out = np.zeros((n, n), np.float32)
+    for lo in range(0, int(code[-1]) + 1 if len(code) else 0, 4096):
+        a, b = np.searchsorted(code, [lo, lo + 4096])
+        x = np.zeros((n, 4096), np.float32)
+        x[at[a:b], code[a:b] - lo] = 1
+        out += x @ x.T
+    return out
+
+
+def _links_in_blocks(percent: int):
+    """Tasks over rows sorted by block pair: an edge from each row with a new link to the smallest id it hangs together with."""
+    def links(rep, part, blk, i, j, at, code, size) -> tuple[np.ndarray, np.ndarray]:
+        n = len(rep)
+        common = _intersections(at, code, n)
+        near = 100 * common >= percent * (size[:, None] + size[None, :] - common)
+        near &= (part[:, None] != part[None, :]) & ((blk[:, None] != blk[None, :]) | (i == j))
+        x, y = np.nonzero(np.triu(near, 1))
+        root = rep.copy()
+        while len(x):
+            low = root.copy()
+            np.minimum.at(low, x, root[y])
+            np.minimum.at(low, y, root[x])
+            if (low == root).all():
+                break
+            root = low
+        moved = np.flatnonzero(root != rep)
+        return rep[moved], root[moved]
+
+    def flush(rows: pa.Table) -> pa.RecordBatch | None:
+        col = {n: rows.column(n).to_numpy() for n in ("rep", "part", "blk", "i", "j", "gid")}
+        sets = rows.column("shingles").combine_chunks()
+        sets = sets if isinstance(sets, pa.Array) else pa.concat_arrays(sets.chunks)
+        found = ([], [])
+        bounds = np.append(tn.segment_starts(col["gid"]), len(col["gid"]))
+        for lo, hi in zip(bounds[:-1], bounds[1:]):
+            if hi - lo > 1 and (col["part"][lo:hi] != col["part"][lo]).any():
+                own = sets.slice(lo, hi - lo)
+                size = np.diff(own.offsets.to_numpy())
+                at = np.repeat(np.arange(hi - lo), size)
+                code = np.unique(own.flatten().to_numpy(), return_inverse=True)[1]
+                a, b = links(col["rep"][lo:hi], col["part"][lo:hi], col["blk"][lo:hi], col["i"][lo], col["j"][lo], at, code,
+                             size.astype(np.float32))
+                found[0].append(a)
+                found[1].append(b)
+        if not found[0]:
+            return None
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(f)) for f in found], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            gid = held.column("gid").to_numpy()
+            cut = int(np.searchsorted(gid, gid[-1])) if len(gid) else 0
+            if cut:
+                done = flush(held.slice(0, cut))
+                held = held.slice(cut)
+                if done is not None:
+                    yield done
+        if held is not None and held.num_rows:
+            done = flush(held)
+            if done is not None:
+                yield done
+    return run
+
+
+def _block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges between components that share a bucket, from exact comparison block by block.
+
+    A bucket of m rows is cut into ceil(m / BLOCK_ROWS) blocks; a pair of blocks
+    meets in one task as a matrix product, which gives at most an edge per row.
+    """
+    placed = members.withColumn("nb", F.ceil(F.col("m") / BLOCK_ROWS).cast("int")).withColumn(
+        "blk", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
+    other = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda o: F.struct(
+        F.least(o, F.col("blk")).alias("i"), F.greatest(o, F.col("blk")).alias("j")))
+    work = (placed.select("band", "key", "rep", "part", "blk", F.explode(other).alias("p"))
+            .select("rep", "part", "blk", "p.i", "p.j", F.xxhash64("band", "key", "p.i", "p.j").alias("gid"))
+            .join(sets, F.col("rep") == F.col("id")).drop("id"))
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    work = work.repartition(n, "gid").sortWithinPartitions("gid")
+    return written(work.mapInArrow(_links_in_blocks(percent), "a long, b long"), "minhash-links")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                     percent: int = 80) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row; linked when 100 * |A and B| >= percent * |A or B|."""
@@ -148,11 +242,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = written(member.join(lead.drop("_last"), ["band", "key"]), "minhash-buckets")
     sizes = classes.groupBy("rep").agg(F.max("n").alias("most"), F.min("n").alias("least"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("_e")).distinct()
+    def full_sets(ids: DataFrame) -> DataFrame:
+        ids = small_enough(written(ids, "minhash-ids"), BROADCAST_IDS)
         chosen = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_t")).join(
-            ends, F.col("_id") == F.col("_e"), "left_semi")
-        sets = written(_full_sets(chosen, "_id", "_t", words).where(F.size("shingles") > 0), "minhash-sets")
+            ids, F.col("_id") == F.col("_e"), "left_semi")
+        return written(_full_sets(chosen, "_id", "_t", words).where(F.size("shingles") > 0), "minhash-sets")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("_e")).distinct())
         one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
         two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
         both = F.size(F.array_intersect("sa", "sb"))
@@ -176,19 +273,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     labelled = (shared.select("band", "key", "rep").join(parts.withColumnRenamed("id", "rep"), "rep", "left")
                 .select("band", "key", "rep", F.coalesce("component", "rep").alias("part")))
-    mixed = labelled.groupBy("band", "key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")
-    open_ = written(labelled.join(mixed.select("band", "key"), ["band", "key"]), "minhash-open")
-    in_bucket = open_.select("band", "key", "part").distinct()
-    meets = (in_bucket.withColumnRenamed("part", "p").join(in_bucket.withColumnRenamed("part", "q"), ["band", "key"])
-             .where("p < q"))
-    left = open_.select("band", "key", F.col("part").alias("p"), F.col("rep").alias("x"))
-    right = open_.select("band", "key", F.col("part").alias("q"), F.col("rep").alias("y"))
-    cross = (meets.join(left, ["band", "key", "p"]).join(right, ["band", "key", "q"])
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-             .join(stars, ["a", "b"], "left_anti"))
-    cross = written(comparable(cross), "minhash-pairs")
-    if not cross.isEmpty():
-        more = verified(cross)
+    mixed = labelled.groupBy("band", "key").agg(
+        F.min("part").alias("p"), F.max("part").alias("q"), F.count(F.lit(1)).alias("m")).where("p < q")
+    open_ = written(labelled.join(mixed.select("band", "key", "m"), ["band", "key"]), "minhash-open")
+    if not open_.isEmpty():
+        more = _block_links(open_, full_sets(open_.select(F.col("rep").alias("_e")).distinct()), percent)
         if not more.isEmpty():
             parts = connected_components(links.union(renamed).union(more))
 
