@@ -24,17 +24,17 @@ import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm import textnum as tn
+from quarry.llm.common import bounded_batches
 
 LONGEST_ROW = 256
 ROWS_AT_ONCE = 1 << 14
-CACHED_PIECES = 400_000
+CACHED_PIECES = 150_000
 _NONE = np.iinfo(np.int32).max
 _SPACES = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 _LETTER, _NUMBER, _SPACE, _OTHER = 0, 1, 2, 3
@@ -273,8 +273,7 @@ class Codec:
         if not len(row):
             return np.zeros(0, np.int32), np.zeros(rows, np.int64)
         start, end = bounds[:-1], bounds[1:]
-        code, _ = pd.factorize(tn.Hasher(buf)(start, end))
-        _, sample = np.unique(code, return_index=True)
+        _, sample, code = np.unique(tn.Hasher(buf)(start, end), return_index=True, return_inverse=True)
         like = sample[code]
         size = end - start
         same = (size == size[like]).all() and bool((buf == buf[tn.ragged(start[like], size)]).all())
@@ -334,7 +333,7 @@ def encode(df: DataFrame, vocabulary, id_col: str = "doc_id", text_col: str = "t
                     names=[id_col, "ids"])
 
     schema = T.StructType([df.schema[id_col], T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    return bounded_batches(df).select(id_col, text_col).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, vocabulary, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
@@ -359,7 +358,7 @@ def decode(df: DataFrame, vocabulary, ids_col: str = "ids", to: str = "decoded")
                 lo = hi
 
     schema = T.StructType([*[df.schema[c] for c in kept], T.StructField(to, T.BinaryType())])
-    return df.select(*kept).mapInArrow(run, schema)
+    return bounded_batches(df).select(*kept).mapInArrow(run, schema)
 
 
 def token_digests(df: DataFrame, vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

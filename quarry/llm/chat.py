@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.llm.common import bounded_batches
+
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]")
 TEMPLATE = (
     '{% for m in messages -%}\n'
@@ -438,7 +440,7 @@ def format_chats(rows: DataFrame, template: str = TEMPLATE, conv_col: str = "con
                                                   pa.array([d[1] for d in done], pair)], names=["_conv", "formatted", "loss_spans"])
 
     named = convs.select("_conv", F.col("_turns").cast(_TURN))
-    return named.mapInArrow(run, T.StructType([T.StructField("_conv", kind), T.StructField("formatted", T.StringType()),
+    return bounded_batches(named).mapInArrow(run, T.StructType([T.StructField("_conv", kind), T.StructField("formatted", T.StringType()),
                                                T.StructField("loss_spans", _SPAN)])).withColumnRenamed("_conv", conv_col)
 
 
@@ -458,4 +460,4 @@ def read_chats(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(turns, turn),
                                                   pa.array(loss, pa.string())], names=fields.names)
 
-    return formatted.select(conv_col, "formatted", "loss_spans").mapInArrow(run, fields)
+    return bounded_batches(formatted).select(conv_col, "formatted", "loss_spans").mapInArrow(run, fields)

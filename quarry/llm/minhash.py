@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm import textnum as tn
-from quarry.llm.common import small_enough, written
+from quarry.llm.common import bounded_batches, small_enough, written
 from quarry.llm.components import connected_components
 
 PERMUTATIONS = 48
@@ -115,7 +115,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataF
     long = T.LongType()
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_shingles", long),
                            T.StructField("d1", long), T.StructField("d2", long), T.StructField("bands", T.ArrayType(long))])
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return bounded_batches(docs.select(id_col, text_col)).mapInArrow(run, schema)
 
 
 def _full_sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -133,7 +133,7 @@ def _full_sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataF
 
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType),
                            T.StructField("shingles", T.ArrayType(T.LongType()))])
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return bounded_batches(docs.select(id_col, text_col)).mapInArrow(run, schema)
 
 
 def _intersections(at: np.ndarray, code: np.ndarray, n: int) -> np.ndarray:
@@ -224,7 +224,7 @@ def _block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             .select("rep", "part", "blk", "p.i", "p.j", F.xxhash64("band", "key", "p.i", "p.j").alias("gid"))
             .join(sets, F.col("rep") == F.col("id")).drop("id"))
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    work = work.repartition(n, "gid").sortWithinPartitions("gid")
+    work = bounded_batches(work).repartition(n, "gid").sortWithinPartitions("gid")
     return written(work.mapInArrow(_links_in_blocks(percent), "a long, b long"), "minhash-links")
 
 

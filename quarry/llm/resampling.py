@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm import textnum as tn
-from quarry.llm.common import written
+from quarry.llm.common import bounded_batches, written
 
 SLOTS = 10_000
 BINS = 4096
@@ -70,7 +70,7 @@ def count_ngrams(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", tex
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[0, at]), pa.array(total[1, at])],
                                          names=["slot", "raw", "target"])
 
-    sums = given.mapInArrow(run, "slot long, raw long, target long").groupBy("slot").agg(F.sum("raw"), F.sum("target"))
+    sums = bounded_batches(given).mapInArrow(run, "slot long, raw long, target long").groupBy("slot").agg(F.sum("raw"), F.sum("target"))
     out = np.zeros((2, SLOTS), np.int64)
     for slot, raw, good in sums.collect():         # SLOTS rows at most
         out[:, slot] = raw, good
@@ -102,7 +102,7 @@ def weigh(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col:
     given = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     schema = T.StructType([given.schema["_id"], T.StructField("n_ngrams", T.LongType()),
                            T.StructField("log_weight", T.DoubleType())])
-    return given.mapInArrow(run, schema)
+    return bounded_batches(given).mapInArrow(run, schema)
 
 
 def kth_largest(df: DataFrame, column: str, k: int) -> float | None:

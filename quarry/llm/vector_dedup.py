@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm import textnum as tn
-from quarry.llm.common import written
+from quarry.llm.common import bounded_batches, written
 from quarry.llm.components import connected_components
 
 HASHES = 16
@@ -185,7 +185,7 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
             .join(classes.select("class", "rep", "copies", "vec"), "class")
             .withColumn("gid", F.xxhash64(*bucket, "i", "j")))
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    work = work.select("class", "rep", "copies", "tab", "blk", "i", "j", "gid", "vec").repartition(n_parts, "gid") \
+    work = bounded_batches(work).select("class", "rep", "copies", "tab", "blk", "i", "j", "gid", "vec").repartition(n_parts, "gid") \
         .sortWithinPartitions("gid", "tab", "i", "j", "class")
     out_schema = T.StructType([T.StructField(c, T.LongType()) for c in ("class", "links", "root")])
     found = written(work.mapInArrow(_links_of(least), out_schema), "vec-links")
