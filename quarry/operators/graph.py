@@ -5,9 +5,9 @@ edge row, so the vertex table is always needed.  Every operator optionally
 takes ``graph_col``: many graphs are then ranked at once, all joins and
 aggregates keyed by the graph id (one plan for all graphs, no driver loop).
 
-One round of PageRank is: edges(src, dst, w=1/outdeg) joined with ranks on src,
-summed by dst (one shuffle on dst), plus a per-graph dangling mass aggregate
-joined back -- both in the same plan, so a round is one job.
+One round of PageRank is one flat plan: nodes join the last sums, which gives the
+ranks; these join the edges (written once in buckets of src) and are summed by
+dst.  The sums are written, so plans don't grow with the rounds; older ones are deleted.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.iterate import LoopLog, fixed_point
-from quarry.session import cut_lineage
+from quarry.operators.iterate import LoopLog
+from quarry.session import drop_table, write_bucketed, write_table
 
 
 def _keys(graph_col: str | None) -> list[str]:
@@ -74,7 +74,7 @@ def l1_change(new: DataFrame, old: DataFrame, cols: list[str], keys: list[str])
 def pagerank(vertices: DataFrame, edges: DataFrame, d: float = 0.85, max_iter: int = 100,
              tol: float | None = 1e-6, teleport: DataFrame | None = None, dangling: str = "uniform",
              graph_col: str | None = None, check_every: int = 3, parallel: str | None = None,
-             checkpoint_every: int = 3, return_log: bool = False):
+             return_log: bool = False):
     """PageRank and its variants.
 
     rank'(v) = T(v) + d * sum_{u->v} rank(u)/outdeg(u) + d * D / N
@@ -94,28 +94,44 @@ def pagerank(vertices: DataFrame, edges: DataFrame, d: float = 0.85, max_iter: i
         tele = (1 - d) * F.coalesce(F.col("_tele"), F.lit(0.0))
     else:
         tele = F.lit(1 - d) / F.col("n")
-    # Loop invariants are computed once and checkpointed (reliable);
-    # each round then moves only ranks and the partial sums per dst.
-    nodes = cut_lineage(nodes.select(*keys, "id", "n", "is_dangling", tele.alias("_base")))
-    wedges = cut_lineage(weighted_edges(edges, graph_col, parallel))
-
-    def step(state: DataFrame) -> DataFrame:
-        s = state.select(*keys, F.col("id").alias("src"), "pr")
-        contrib = (wedges.join(s, keys + ["src"])
-                   .groupBy(*keys, F.col("dst").alias("id")).agg(F.sum(F.col("pr") * F.col("w")).alias("_c")))
-        new = nodes.join(contrib, keys + ["id"], "left")
+    # Loop invariants are written once.  Dangling vertices get an edge to the
+    # null vertex, so one aggregation gives both the sums per vertex and the
+    # dangling mass.  Each round is one flat plan: nodes join the last sums
+    # (the ranks), join the edges, sum by destination, write.
+    nodes = write_table(nodes.select(*keys, "id", "n", "is_dangling", tele.alias("_base")), "nodes")
+    sink = nodes.where("is_dangling").select(*keys, F.col("id").alias("src"), F.lit(None).cast(
+        nodes.schema["id"].dataType).alias("dst"), F.lit(1.0).alias("w"))
+    links = weighted_edges(edges, graph_col, parallel)
+    links = write_bucketed(links if dangling == "leak" else links.unionByName(sink), "links", "src")
+
+    def ranks(sums: DataFrame | None) -> DataFrame:
+        if sums is None:
+            return nodes.select(*keys, "id", (F.lit(1.0) / F.col("n")).alias("pr"))
+        new = nodes.join(sums.where(F.col("dst").isNotNull()).withColumnRenamed("dst", "id"), keys + ["id"], "left")
         pr = F.col("_base") + F.lit(d) * F.coalesce(F.col("_c"), F.lit(0.0))
         if dangling != "leak":
-            dm = (state.join(nodes.where("is_dangling").select(*keys, "id"), keys + ["id"])
-                  .groupBy(*keys).agg(F.sum("pr").alias("_dm")))
-            new = _attach_scalar(new, dm, keys)
+            lost = sums.where(F.col("dst").isNull()).groupBy(*keys).agg(F.max("_c").alias("_dm"))
+            new = _attach_scalar(new, lost, keys)
             pr = pr + F.lit(d) * F.coalesce(F.col("_dm"), F.lit(0.0)) / F.col("n")
         return new.select(*keys, "id", pr.alias("pr"))
 
-    init = nodes.select(*keys, "id", (F.lit(1.0) / F.col("n")).alias("pr"))
-    out, log = fixed_point(init, step, max_iter, tol, lambda n, o: l1_change(n, o, ["pr"], keys),
-                           check_every=check_every, checkpoint_every=checkpoint_every,
-                           keep_previous_on_converge=(dangling == "leak"))
+    log, sums = LoopLog(), None
+    for r in range(1, max_iter + 1):
+        state = ranks(sums).withColumnRenamed("id", "src")
+        new = write_table(links.join(state, keys + ["src"]).groupBy(*keys, "dst").agg(
+            F.sum(F.col("pr") * F.col("w")).alias("_c")), "sums")
+        log.rounds = r
+        if tol and r % check_every == 0:
+            change = l1_change(ranks(new), ranks(sums), ["pr"], keys)
+            log.history.append((r, change))
+            if change < tol:
+                log.converged = True
+                sums = sums if dangling == "leak" else new
+                break
+        if sums is not None:
+            drop_table(sums)
+        sums = new
+    out = ranks(sums)
     return (out, log) if return_log else out
 
 
@@ -166,7 +182,7 @@ def spam_mass(pr: DataFrame, tr: DataFrame, graph_col: str | None = None) -> Dat
 
 def hits(vertices: DataFrame, edges: DataFrame, max_iter: int = 100, tol: float | None = 1e-6,
          norm_stop: str = "l1_sum", graph_col: str | None = None, check_every: int = 2,
-         checkpoint_every: int = 2, return_log: bool = False):
+         return_log: bool = False):
     """HITS authority/hub (G9, G10).  Returns (id, authority, hub).
 
     a' = L^T h, h' = L a' (from the un-normalised a'), both L2-normalised (a zero
@@ -175,24 +191,25 @@ def hits(vertices: DataFrame, edges: DataFrame, max_iter: int = 100, tol: float
     An edgeless graph yields zeros.
     """
     keys = _keys(graph_col)
-    e = cut_lineage(edges.select(*keys, "src", "dst").distinct())
-    vs = cut_lineage(vertices.select(*keys, "id").distinct())
-
-    def step(state: DataFrame) -> DataFrame:
-        h = state.select(*keys, F.col("id").alias("src"), "hub")
-        a_raw = (e.join(h, keys + ["src"]).groupBy(*keys, F.col("dst").alias("id"))
-                 .agg(F.sum("hub").alias("_a")))
-        a_full = vs.join(a_raw, keys + ["id"], "left").select(*keys, "id", F.coalesce("_a", F.lit(0.0)).alias("_a"))
-        a_in = a_full.select(*keys, F.col("id").alias("dst"), "_a")
-        h_raw = (e.join(a_in, keys + ["dst"]).groupBy(*keys, F.col("src").alias("id"))
-                 .agg(F.sum("_a").alias("_h")))
-        both = a_full.join(h_raw, keys + ["id"], "left").select(*keys, "id", "_a", F.coalesce("_h", F.lit(0.0)).alias("_h"))
-        norms = both.groupBy(*keys).agg(F.sqrt(F.sum(F.col("_a") * F.col("_a"))).alias("_na"),
-                                       F.sqrt(F.sum(F.col("_h") * F.col("_h"))).alias("_nh"))
-        both = _attach_scalar(both, norms, keys)
-        na = F.when(F.col("_na") != 0, F.col("_na")).otherwise(F.lit(1.0))
-        nh = F.when(F.col("_nh") != 0, F.col("_nh")).otherwise(F.lit(1.0))
-        return both.select(*keys, "id", (F.col("_a") / na).alias("authority"), (F.col("_h") / nh).alias("hub"))
+    pairs = edges.select(*keys, "src", "dst").distinct()
+    by_src, by_dst = write_bucketed(pairs, "links", "src"), write_bucketed(pairs, "links", "dst")
+    vs = write_table(vertices.select(*keys, "id").distinct(), "nodes")
+
+    def unit(raw: DataFrame, col: str) -> DataFrame:
+        """``raw`` scaled to length 1 (left as it is when the length is 0)."""
+        norm = raw.groupBy(*keys).agg(F.sqrt(F.sum(F.col(col) * F.col(col))).alias("_norm"))
+        by = F.when(F.col("_norm") != 0, F.col("_norm")).otherwise(F.lit(1.0))
+        return _attach_scalar(raw, norm, keys).select(*keys, "id", (F.col(col) / by).alias(col))
+
+    def half(links: DataFrame, end: str, to: str, value: DataFrame, col: str, out: str) -> DataFrame:
+        """One product with the link matrix: a join and a sum, written."""
+        return write_table(links.join(value.withColumnRenamed("id", end), keys + [end]).groupBy(
+            *keys, F.col(to).alias("id")).agg(F.sum(col).alias(out)), out)
+
+    def full(a: DataFrame, h: DataFrame) -> DataFrame:
+        zero = F.lit(0.0)
+        return (vs.join(unit(a, "authority"), keys + ["id"], "left").join(unit(h, "hub"), keys + ["id"], "left")
+                .select(*keys, "id", F.coalesce("authority", zero).alias("authority"), F.coalesce("hub", zero).alias("hub")))
 
     def measure(new: DataFrame, old: DataFrame) -> float:
         if norm_stop == "l1_sum":
@@ -204,9 +221,26 @@ def hits(vertices: DataFrame, edges: DataFrame, max_iter: int = 100, tol: float
         v = j.agg(F.max(F.greatest("da", "dh"))).first()[0]
         return 0.0 if v is None else float(v)
 
-    init = vs.select(*keys, "id", F.lit(1.0).alias("authority"), F.lit(1.0).alias("hub"))
-    out, log = fixed_point(init, step, max_iter, tol, measure, check_every=check_every,
-                           checkpoint_every=checkpoint_every)
+    log, last = LoopLog(), None
+    for r in range(1, max_iter + 1):
+        hub = vs.select(*keys, "id", F.lit(1.0).alias("hub")) if last is None else unit(last[1], "hub")
+        a = half(by_src, "src", "dst", hub, "hub", "authority")
+        new = (a, half(by_dst, "dst", "src", a, "authority", "hub"))
+        log.rounds = r
+        if tol and last is not None and r % check_every == 0:
+            change = measure(full(*new), full(*last))
+            log.history.append((r, change))
+            if change < tol:
+                log.converged, last = True, new
+                break
+        for old in last or ():
+            drop_table(old)
+        last = new
+    if last is None:
+        one = F.lit(1.0)
+        out = vs.select(*keys, "id", one.alias("authority"), one.alias("hub"))
+    else:
+        out = full(*last)
     return (out, log) if return_log else out
 
 

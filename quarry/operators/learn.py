@@ -24,33 +24,48 @@ def _stack(col) -> np.ndarray:
 
 # ---------------------------------------------------------------- perceptron (I4)
 
-def perceptron_fit(df: DataFrame, epochs: int = 10, lr: float = 0.1, x_col: str = "x", y_col: str = "y"):
-    """Returns weights [b, w1..wd]; output >= 0 -> 1, update lr*(target - output)."""
-    d = len(df.select(x_col).first()[0])
-    w = np.zeros(d + 1)
-    data = df.select(x_col, y_col).cache()
+def _next_mistake(signed: np.ndarray, is_one: np.ndarray, weights: np.ndarray, start: int) -> int:
+    """First row from ``start`` on whose side of the plane is wrong; len(signed) if there is none."""
+    wrong = (signed[start:] @ weights >= 0) != is_one[start:]
+    return start + int(wrong.argmax()) if wrong.any() else len(signed)
+
+
+def perceptron_fit(df: DataFrame, epochs: int = 10, lr: float = 0.1, x_col: str = "x", y_col: str = "y",
+                   order_cols: tuple[str, ...] = ("id",), block: int = 256):
+    """Weights [bias, w1..wd] of a mistake-driven linear separator (a point on the plane counts as class 1).
+
+    Within a partition rows are taken in the order of ``order_cols``.  Rows
+    between two mistakes leave the weights alone, so each block is scored as one
+    matrix product and only its mistakes are visited; a mistake moves the
+    weights by ``lr`` times the bias-augmented row, towards class 1 or away.
+    Partition weights are averaged by their numbers of rows.
+    """
+    order = [c for c in order_cols if c in df.columns]
+    data = df.select(x_col, y_col, *order)
+    data = (data.sortWithinPartitions(*order) if order else data).select(x_col, y_col).cache()
+    size = 1 + len(data.first()[x_col])
+    weights = np.zeros(size)
     for _ in range(epochs):
-        w0 = w.copy()
-
-        def run(batches, w0=w0):
-            w = w0.copy()
-            n = 0
-            for pdf in batches:
-                X, Y = _stack(pdf[x_col]), pdf[y_col].to_numpy(dtype=np.float64)
-                for xi, t in zip(X, Y):
-                    out = 1.0 if xi @ w[1:] + w[0] >= 0 else 0.0
-                    upd = lr * (t - out)
-                    w[1:] += upd * xi
-                    w[0] += upd
-                    n += 1
-            if n:
-                yield pd.DataFrame({"j": np.arange(len(w), dtype=np.int32), "w": w * n, "n": np.full(len(w), n)})
-
-        parts = data.mapInPandas(run, "j int, w double, n long")
-        rows = parts.groupBy("j").agg(F.sum("w").alias("w"), F.sum("n").alias("n")).collect()  # d+1 rows
-        for r in rows:
-            w[r["j"]] = r["w"] / r["n"]
-    return w.tolist()
+        shared = weights
+
+        def local_pass(batches, shared=shared):
+            here, seen = shared.copy(), 0
+            for frame in batches:
+                rows = np.column_stack([np.ones(len(frame)), _stack(frame[x_col])])
+                is_one = frame[y_col].to_numpy(dtype=np.float64) >= 0.5
+                for first in range(0, len(rows), block):
+                    part, ones, k = rows[first:first + block], is_one[first:first + block], 0
+                    while (k := _next_mistake(part, ones, here, k)) < len(part):
+                        here += (lr if ones[k] else -lr) * part[k]
+                        k += 1
+                seen += len(rows)
+            if seen:
+                yield pd.DataFrame({"place": np.arange(size, dtype=np.int32), "mass": here * seen, "seen": np.full(size, seen)})
+
+        merged = data.mapInPandas(local_pass, "place int, mass double, seen long").groupBy("place").agg(
+            (F.sum("mass") / F.sum("seen")).alias("weight")).orderBy("place").collect()  # one row per weight
+        weights = np.array([r["weight"] for r in merged])
+    return weights.tolist()
 
 
 def linear_score(x_col: str, weights: list[float]):
@@ -101,32 +116,28 @@ def mlp_fit(df: DataFrame, hidden: int = 5, lr: float = 0.1, epochs: int = 100,
     data = df.select(x_col, y_col).cache()
     m = data.count()
     for _ in range(epochs):
-        W1, b1, W2, b2 = p["W1"], p["b1"], p["W2"], p["b2"]
-
-        def run(batches, W1=W1, b1=b1, W2=W2, b2=b2):
-            g = [np.zeros_like(W1), np.zeros_like(b1), np.zeros_like(W2), np.zeros_like(b2)]
-            for pdf in batches:
-                X, Y = _stack(pdf[x_col]), pdf[y_col].to_numpy(dtype=np.float64).reshape(-1, 1)
-                A1 = 1 / (1 + np.exp(-(X @ W1 + b1)))
-                A2 = 1 / (1 + np.exp(-(A1 @ W2 + b2)))
-                dZ2 = A2 - Y
-                dZ1 = (dZ2 @ W2.T) * A1 * (1 - A1)
-                g[0] += X.T @ dZ1
-                g[1] += dZ1.sum(0)
-                g[2] += A1.T @ dZ2
-                g[3] += dZ2.sum(0)
-            flat = np.concatenate([a.ravel() for a in g])
-            yield pd.DataFrame({"k": np.arange(len(flat), dtype=np.int32), "g": flat})
-
-        rows = data.mapInPandas(run, "k int, g double").groupBy("k").agg(F.sum("g").alias("g")).collect()
-        flat = np.zeros(sum(a.size for a in (W1, b1, W2, b2)))
-        for r in rows:
-            flat[r["k"]] = r["g"]
-        off = 0
-        for key in ("W1", "b1", "W2", "b2"):
-            a = p[key]
-            p[key] = a - lr * flat[off:off + a.size].reshape(a.shape) / m
-            off += a.size
+        # lower layer with the bias as first row: (d + 1) x h; upper layer likewise: (h + 1)
+        lower = np.vstack([p["b1"], p["W1"]])
+        upper = np.concatenate([p["b2"], p["W2"][:, 0]])
+
+        def slopes(batches, lower=lower, upper=upper):
+            total = np.zeros(lower.size + upper.size)
+            for frame in batches:
+                target = frame[y_col].to_numpy(dtype=np.float64)
+                inputs = np.column_stack([np.ones(len(target)), _stack(frame[x_col])])
+                unit = np.tanh(inputs @ lower / 2) / 2 + 0.5          # the logistic function
+                seen = np.column_stack([np.ones(len(target)), unit])
+                error = np.tanh(seen @ upper / 2) / 2 + 0.5 - target   # slope of the loss by the upper sum
+                back = np.einsum("n,h,nh,nh->nh", error, upper[1:], unit, 1 - unit)
+                total += np.concatenate([np.einsum("nd,nh->dh", inputs, back).ravel(), error @ seen])
+            yield pd.DataFrame({"place": np.arange(total.size, dtype=np.int32), "slope": total})
+
+        sums = data.mapInPandas(slopes, "place int, slope double").groupBy("place").agg(
+            F.sum("slope").alias("slope")).orderBy("place").collect()  # one row per weight
+        move = lr / m * np.array([r["slope"] for r in sums])
+        lower = lower - move[:lower.size].reshape(lower.shape)
+        upper = upper - move[lower.size:]
+        p = {"W1": lower[1:], "b1": lower[0], "W2": upper[1:, None], "b2": upper[:1]}
         if valid is not None and patience is not None:
             loss = bce(valid.select(F.col(y_col).alias("y"), mlp_forward_expr(x_col, p).alias("p"))).first()[0]
             if log is not None:

@@ -9,10 +9,10 @@ Level k (Apriori):
     prune; the surviving frequent sets are the same, since every frequent
     k-set has all its (k-1)-subsets frequent);
   support = containment join: (tid, prefix set) rows of level k-1 joined with
-    the candidates on the prefix, semi-joined with the basket rows on
-    (tid, last item), counted per candidate.
-Only frequent items take part: at most 1/min_support items can be frequent,
-which bounds the broadcast item table.
+    the basket's own later frequent items on tid, semi-joined with the
+    candidates (for level 2 every such pair is one), counted per set.
+Only frequent items take part; whether their table is broadcast is left to the
+planner (at most mean basket length / min_support items can be frequent).
 """
 
 from __future__ import annotations
@@ -21,9 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.iterate import materialize
-from quarry.session import cut_lineage
-
-MAX_BROADCAST_ITEMS = 1_000_000
+from quarry.session import write_table
 
 
 def baskets_from_rows(rows: DataFrame, tid_col: str, item_col: str) -> DataFrame:
@@ -57,75 +55,52 @@ def frequent_items(basket_items: DataFrame, min_support: float, count_duplicates
             .select(F.array("item").alias("items"), F.lit(1).alias("k"), "freq", "support"))
 
 
-def _broadcast_if_bounded(df: DataFrame, min_support: float) -> DataFrame:
-    return F.broadcast(df) if min_support > 0 and 1.0 / min_support <= MAX_BROADCAST_ITEMS else df
-
-
 def _cid(items):
     return F.concat_ws("\u0001", items)
 
 
 def candidates(prev: DataFrame, k: int) -> DataFrame:
-    """C(k) from L(k-1) by prefix join: (pid, items ARRAY<STRING> sorted, x = added item).
+    """C(k), k >= 3, from L(k-1) by an equi-join on the first k-2 items: (pid, item = added last item)."""
+    a = prev.select(F.col("items").alias("a"), F.slice("items", 1, k - 2).alias("_head"))
+    b = prev.select(F.col("items").alias("b"), F.slice("items", 1, k - 2).alias("_head"))
+    return a.join(b, "_head").where(F.col("a")[k - 2] < F.col("b")[k - 2]).select(
+        _cid(F.col("a")).alias("pid"), F.col("b")[k - 2].alias("item"))
 
-    ``pid`` identifies the generating (k-1)-set whose items are the first k-1
-    items of the candidate; ``x`` is the candidate's last item.
-    """
-    a = prev.select(F.col("items").alias("a"))
-    b = prev.select(F.col("items").alias("b"))
-    if k == 2:
-        cond = F.col("a")[0] < F.col("b")[0]
-    else:
-        cond = (F.slice("a", 1, k - 2) == F.slice("b", 1, k - 2)) & (F.col("a")[k - 2] < F.col("b")[k - 2])
-    return a.join(b, cond).select(_cid(F.col("a")).alias("pid"),
-                                  F.concat("a", F.slice("b", k - 1, 1)).alias("items"),
-                                  F.col("b")[k - 2].alias("x"))
-
-
-def containment_1(basket_items: DataFrame, frequent_1: DataFrame, min_support: float) -> DataFrame:
-    """(tid, pid) for every frequent item of every basket (level-1 containment)."""
+
+def containment_1(basket_items: DataFrame, frequent_1: DataFrame) -> DataFrame:
+    """(tid, pid, last) for every frequent item of every basket (level-1 containment)."""
     f1 = frequent_1.select(F.col("items")[0].alias("item"))
-    return (basket_items.join(_broadcast_if_bounded(f1, min_support), "item", "left_semi")
-            .select("tid", _cid(F.array("item")).alias("pid")))
+    return basket_items.join(f1, "item", "left_semi").select(
+        "tid", _cid(F.array("item")).alias("pid"), F.col("item").alias("last"))
 
 
-def count_level(cands: DataFrame, contain_prev: DataFrame, basket_items: DataFrame, k: int,
-                min_support: float) -> tuple[DataFrame, DataFrame]:
-    """Frequent k-sets and their containment (tid, pid) from the (k-1) containment.
+def apriori_level(prev: DataFrame, contain_prev: DataFrame, contain_1: DataFrame, basket_items: DataFrame, k: int,
+                  min_support: float) -> tuple[DataFrame, DataFrame]:
+    """Frequent k-itemsets and their containment (tid, pid, last) from the (k-1) level.
 
-    A candidate (prefix p, last item x) is in basket t iff p is in t -- a row of
-    the (k-1) containment -- and x is in t -- a row of the basket table.  So
-    support counting is two equi-joins and a count, with rows proportional to
-    the contained frequent (k-1)-sets, not to candidates x baskets.
+    A basket's (k-1)-sets meet the basket's own later frequent items first, so
+    rows are those of the baskets, not of prefixes times candidates.
     """
-    n = n_baskets(basket_items)
-    c = cands.select("pid", _cid(F.col("items")).alias("cid"), "items", F.col("x").alias("item"))
-    hit = (contain_prev.join(c.select("pid", "cid", "item"), "pid")
-           .join(basket_items.select("tid", "item"), ["tid", "item"], "left_semi")
-           .select("tid", "cid"))
-    freq = (hit.groupBy("cid").agg(F.count(F.lit(1)).alias("freq")).crossJoin(F.broadcast(n))
-            .withColumn("support", F.col("freq") / F.col("n_baskets"))
-            .where(F.col("support") >= F.lit(min_support)))
-    sets = c.select("cid", "items").distinct().join(freq, "cid").select(
-        "items", F.lit(k).alias("k"), "freq", "support")
-    contain = hit.join(freq.select("cid"), "cid", "left_semi").select("tid", F.col("cid").alias("pid"))
-    return sets, contain
-
-
-def apriori_level(prev: DataFrame, contain_prev: DataFrame, basket_items: DataFrame, k: int,
-                  min_support: float) -> tuple[DataFrame, DataFrame]:
-    """Frequent k-itemsets (and their containment) from the frequent (k-1)-itemsets."""
-    return count_level(candidates(prev, k), contain_prev, basket_items, k, min_support)
+    later = contain_1.select("tid", F.col("last").alias("item"))
+    hit = contain_prev.join(later, "tid").where(F.col("item") > F.col("last"))
+    if k > 2:
+        hit = hit.join(candidates(prev, k), ["pid", "item"], "left_semi")
+    hit = hit.select("tid", F.concat_ws("\u0001", "pid", "item").alias("pid"), F.col("item").alias("last"))
+    freq = (hit.groupBy("pid").agg(F.count(F.lit(1)).alias("freq")).crossJoin(F.broadcast(n_baskets(basket_items)))  # one row
+            .withColumn("support", F.col("freq") / F.col("n_baskets")).where(F.col("support") >= F.lit(min_support)))
+    sets = freq.select(F.split("pid", "\u0001").alias("items"), F.lit(k).alias("k"), "freq", "support")
+    return sets, hit.join(freq.select("pid"), "pid", "left_semi")
 
 
 def apriori_levels(basket_items: DataFrame, min_support: float, max_k: int):
     """Frequent itemsets of levels 1..max_k, one DataFrame per level (lazy)."""
     basket_items = materialize(basket_items)  # read by every level
     f1 = frequent_items(basket_items, min_support)
-    level, contain = f1, containment_1(basket_items, f1, min_support)
+    one = containment_1(basket_items, f1)
+    level, contain = f1, one
     out = [f1]
     for k in range(2, max_k + 1):
-        level, contain = apriori_level(level, contain, basket_items, k, min_support)
+        level, contain = apriori_level(level, contain, one, basket_items, k, min_support)
         out.append(level)
     return out
 
@@ -138,13 +113,14 @@ def apriori(basket_items: DataFrame, min_support: float, max_k: int | None = Non
     emptiness is a ``limit(1)`` probe.
     """
     basket_items = materialize(basket_items)  # read by every level
-    level = cut_lineage(frequent_items(basket_items, min_support))
-    contain = cut_lineage(containment_1(basket_items, level, min_support))
+    level = write_table(frequent_items(basket_items, min_support), "itemsets")
+    one = contain = write_table(containment_1(basket_items, level), "containment")
     out = level
     k = 2
     while (max_k is None or k <= max_k) and level.limit(1).count() > 0:
-        level, contain = apriori_level(level, contain, basket_items, k, min_support)
-        level, contain = cut_lineage(level), cut_lineage(contain)
+        level, contain = apriori_level(level, contain, one, basket_items, k, min_support)
+        contain = write_table(contain, "containment")
+        level = write_table(level, "itemsets")
         if level.limit(1).count() == 0:
             break
         out = out.unionByName(level)
@@ -161,7 +137,7 @@ def fp_tree(basket_items: DataFrame, min_support: float) -> DataFrame:
     sharing that prefix.  ``path`` joins the prefix with '/'.
     """
     f1 = frequent_items(basket_items, min_support).select(F.col("items")[0].alias("item"), "freq")
-    rows = basket_items.join(_broadcast_if_bounded(f1, min_support), "item")
+    rows = basket_items.join(f1, "item")
     ordered = (rows.groupBy("tid")
                .agg(F.sort_array(F.collect_list(F.struct((-F.col("freq")).alias("nf"), "item"))).alias("s"))
                .select(F.transform("s", lambda x: x["item"]).alias("items")))
@@ -181,4 +157,4 @@ def fp_listing(tree: DataFrame) -> DataFrame:
 
 
 __all__ = ["baskets_from_rows", "basket_arrays", "frequent_items", "candidates", "containment_1",
-           "count_level", "apriori_level", "apriori_levels", "apriori", "fp_tree", "fp_listing"]
+           "apriori_level", "apriori_levels", "apriori", "fp_tree", "fp_listing"]

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarry.functions.text import md5_bucket
+from quarry.session import write_table
 from quarry.functions.vectors import cosine
 from quarry.operators.pairs import group_pairs
 
@@ -110,6 +111,13 @@ def latest_ratings(events: DataFrame, seq_col: str = "seq") -> DataFrame:
     return events.groupBy(U, I).agg(F.max_by(R, seq_col).alias(R))
 
 
+def pivot_mean(df: DataFrame, key: str, column: str, value: str, digits: int = 9) -> DataFrame:
+    """One column per value of ``column`` found in the data (Spark refuses more than 10,000), means, 0 = none."""
+    wide = df.groupBy(key).pivot(column).agg(F.avg(value))
+    names = [c for c in wide.columns if c != key]
+    return wide.select(key, *[F.round(F.coalesce(F.col(f"`{c}`"), F.lit(0.0)), digits).alias(c) for c in names])
+
+
 def dense_ids(ids: DataFrame, col: str, out_col: str = "idx") -> DataFrame:
     """Dense 0-based index in id order without a single-partition window.
 
@@ -118,7 +126,7 @@ def dense_ids(ids: DataFrame, col: str, out_col: str = "idx") -> DataFrame:
     with one row per partition, which is small by construction).
     """
     d = ids.select(col).distinct().repartitionByRange(col).sortWithinPartitions(col)
-    d = d.withColumn("_p", F.spark_partition_id())
+    d = write_table(d.withColumn("_p", F.spark_partition_id()), "dense-ids")  # partition numbers are fixed once
     d = d.withColumn("_local", F.row_number().over(W.partitionBy("_p").orderBy(col)))
     sizes = d.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
     offs = sizes.withColumn("_off", F.sum("_c").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)))

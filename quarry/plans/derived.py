@@ -6,9 +6,10 @@ tables so that every query's work grows with the data:
 
 - ratings:  o_custkey -> user_id, l_partkey -> item_id, avg(l_quantity) -> score
 - baskets:  per l_orderkey the distinct p_brand values (lineitem x part)
-- edges:    distinct (l_suppkey, l_partkey mod #supplier) where l_quantity = 50,
-            for suppliers outside every fifth nation; vertices = supplier keys
-            (the others are dangling: no edge row)
+- graph:    vertices = parts (id 2 * key) and customers (id 2 * key + 1); a customer
+            links to every part of the customer's orders, a part links to every
+            customer who returned it.  Customers without orders and parts never
+            returned are dangling.  All lineitems take part.
 - points:   embeddings.embedding (as doubles), labelled y = label >= 5
 - splits:   md5 of 'user|item' -> first 8 hex digits mod 10 < 8 means train
 
@@ -73,19 +74,18 @@ def basket_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"))
+    parts = table(spark, sf_dir, "part").select((F.col("p_partkey") * 2).alias("id"))
+    return parts.union(table(spark, sf_dir, "customer").select((F.col("c_custkey") * 2 + 1).alias("id")))
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sup = table(spark, sf_dir, "supplier")
-    n_sup = sup.agg(F.count(F.lit(1)).alias("n_sup"))
-    # suppliers of every fifth nation have no out-links: dangling vertices
-    linking = sup.where(F.col("s_nationkey") % 5 != 0).select(F.col("s_suppkey").alias("l_suppkey"))
-    li = (table(spark, sf_dir, "lineitem").where(F.col("l_quantity") == 50).select("l_suppkey", "l_partkey")
-          .join(linking, "l_suppkey", "left_semi"))
-    return (li.crossJoin(F.broadcast(n_sup))  # one-row scalar
-            .select(F.col("l_suppkey").alias("src"), F.pmod(F.col("l_partkey"), F.col("n_sup")).alias("dst"))
-            .distinct())
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    part, customer = F.col("l_partkey") * 2, F.col("o_custkey") * 2 + 1
+    both = li.join(o, li.l_orderkey == o.o_orderkey).select(part.alias("part"), customer.alias("customer"), "l_returnflag")
+    bought = both.select(F.col("customer").alias("src"), F.col("part").alias("dst"))
+    returned = both.where("l_returnflag = 'R'").select(F.col("part").alias("src"), F.col("customer").alias("dst"))
+    return bought.union(returned).distinct()
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,11 +113,11 @@ SQL = {
     "basket_items": """
         SELECT DISTINCT l_orderkey AS tid, p_brand AS item
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
-    "vertices": "SELECT s_suppkey AS id FROM supplier",
+    "vertices": "SELECT p_partkey * 2 AS id FROM part UNION ALL SELECT c_custkey * 2 + 1 FROM customer",
     "edges": """
-        SELECT DISTINCT l_suppkey AS src, l_partkey % (SELECT count(*) FROM supplier) AS dst
-        FROM lineitem WHERE l_quantity = 50
-          AND l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey % 5 <> 0)""",
+        SELECT o_custkey * 2 + 1 AS src, l_partkey * 2 AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        UNION SELECT l_partkey * 2, o_custkey * 2 + 1 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        WHERE l_returnflag = 'R'""",
     "points": "SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x, label FROM embeddings",
 }
 

@@ -1,11 +1,9 @@
-"""Registered link-analysis queries on the derived supplier graph.
-
-Graph: vertices = supplier keys; edges = distinct (l_suppkey, l_partkey mod
-#supplier) over lineitems with l_quantity = 50 of suppliers whose nation key is
-not a multiple of 5 (the rest are dangling vertices).  Loops run a fixed number of
-rounds (tol=0) so the unrolled DuckDB chains compute the same vector.
-Topic set: suppliers of nations in region ASIA.  Trusted set: suppliers with
-s_acctbal > 9000.
+"""Registered link-analysis queries on the derived customer-part graph.
+
+Graph: see ``quarry.plans.derived``; it takes all lineitems.  Loops run a fixed
+number of rounds (tol=None) so the unrolled DuckDB chains compute the same vector.
+Topic set: customers of nations in region ASIA.  Trusted set: customers with
+c_acctbal > 9000.
 """
 
 from __future__ import annotations
@@ -16,6 +14,7 @@ from quarry.operators import graph as G
 from quarry.plans.derived import SQL, edges, table, vertices
 from quarry.plans.registry import register
 from quarry.plans.unroll import dbl, hits_ctes, pagerank_ctes, with_clause
+from quarry.session import write_table
 
 ROUNDS = 20
 D = 0.85
@@ -29,27 +28,27 @@ def _g(spark, sf_dir):
 
 
 def _topic_ids(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").where(F.col("r_name") == "ASIA").select("r_regionkey")
-    return (s.join(n, s.s_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(F.col("s_suppkey").alias("id")))
+    return (c.join(n, c.c_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+            .select((F.col("c_custkey") * 2 + 1).alias("id")))
 
 
 def _trusted_ids(spark, sf_dir):
-    return table(spark, sf_dir, "supplier").where(F.col("s_acctbal") > 9000).select(F.col("s_suppkey").alias("id"))
+    return table(spark, sf_dir, "customer").where(F.col("c_acctbal") > 9000).select((F.col("c_custkey") * 2 + 1).alias("id"))
 
 
 BASE = [f"vertices AS ({SQL['vertices']})", f"edges AS ({SQL['edges']})"]
 TOPIC_SQL = [
-    """topic_ids AS (SELECT s_suppkey AS id FROM supplier JOIN nation ON s_nationkey = n_nationkey
+    """topic_ids AS (SELECT c_custkey * 2 + 1 AS id FROM customer JOIN nation ON c_nationkey = n_nationkey
                      JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA')""",
     f"""topic_raw AS (SELECT v.id, CASE WHEN t.id IS NOT NULL THEN {dbl(0.4)} ELSE {dbl(0.05)} END AS w
                      FROM vertices v LEFT JOIN topic_ids t ON t.id = v.id)""",
     "topic_v AS (SELECT id, w / (SELECT sum(w) FROM topic_raw) AS v FROM topic_raw)",
 ]
 TRUST_SQL = [
-    "trusted_ids AS (SELECT s_suppkey AS id FROM supplier WHERE s_acctbal > 9000)",
+    "trusted_ids AS (SELECT c_custkey * 2 + 1 AS id FROM customer WHERE c_acctbal > 9000)",
     f"""trust_v AS (SELECT v.id, CASE WHEN t.id IS NOT NULL THEN {dbl(0.9)} / (SELECT count(*) FROM trusted_ids)
                     WHEN (SELECT count(*) FROM vertices) - (SELECT count(*) FROM trusted_ids) > 0
                     THEN {dbl(1 - 0.9)} / ((SELECT count(*) FROM vertices) - (SELECT count(*) FROM trusted_ids))
@@ -153,8 +152,8 @@ SELECT id, round(pr, {DIGITS}) AS pr FROM {last} ORDER BY round(pr, {DIGITS}) DE
 @register("pagerank_idrange_top100", sql=_idrange_sql)
 def q_pagerank_idrange(spark, sf_dir):
     e = edges(spark, sf_dir).cache()
-    mx = e.agg(F.greatest(F.max("src"), F.max("dst")).alias("m"))
-    v = spark.range(0, 1).crossJoin(mx).select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("m"))).alias("id"))
+    top = e.agg(F.greatest(F.max("src"), F.max("dst"))).first()[0]
+    v = spark.range(0, (-1 if top is None else top) + 1)   # dealt over tasks
     pr = _round(G.pagerank(v, e, D, ROUNDS, tol=None), "pr")
     return G.top_k(pr, "pr", TOPK)
 
@@ -210,10 +209,22 @@ SELECT algo, id, score, CAST(row_number() OVER (PARTITION BY algo ORDER BY score
 FROM (SELECT algo, id, round(score, {DIGITS}) AS score FROM ({body}))"""
 
 
+def ranked(scores):
+    """Ranks per algorithm: ranges of (algo, score, id) are ranked apart, then shifted by the rows before them."""
+    from pyspark.sql import Window as W
+    order = [F.col("algo"), F.col("score").desc(), F.col("id")]
+    dealt = write_table(scores.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "report")
+    local = W.partitionBy("_p", "algo").orderBy(*order[1:])
+    size = dealt.groupBy("_p", "algo").agg(F.count(F.lit(1)).alias("_n"))       # one row per partition and algorithm
+    before = size.withColumn("_before", F.coalesce(F.sum("_n").over(
+        W.partitionBy("algo").orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    return dealt.withColumn("_r", F.row_number().over(local)).join(before, ["_p", "algo"]).select(
+        "algo", "id", "score", (F.col("_r") + F.col("_before")).cast("int").alias("rank"))
+
+
 @register("link_report", sql=_report_sql)
 def q_link_report(spark, sf_dir):
     """One long table (algo, id, score, rank) of the five link scores."""
-    from pyspark.sql import Window as W
     v, e = _g(spark, sf_dir)
     pr = G.pagerank(v, e, D, ROUNDS, tol=None).select(F.lit("pagerank").alias("algo"), "id", F.col("pr").alias("score"))
     tv = G.topic_vector(v, _topic_ids(spark, sf_dir))
@@ -226,8 +237,7 @@ def q_link_report(spark, sf_dir):
     hb = h.select(F.lit("hub").alias("algo"), "id", F.col("hub").alias("score"))
     allr = pr.unionByName(tp).unionByName(tr).unionByName(au).unionByName(hb)
     allr = allr.withColumn("score", F.round("score", DIGITS))
-    w = W.partitionBy("algo").orderBy(F.col("score").desc(), F.col("id").asc())
-    return allr.withColumn("rank", F.row_number().over(w))
+    return ranked(allr)
 
 
 def _convergence_sql():

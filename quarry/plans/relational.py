@@ -8,8 +8,6 @@ from quarry.operators import recsys as RS
 from quarry.plans.derived import rating_events, ratings, table, test_ratings, train_ratings, with_ctes
 from quarry.plans.registry import register
 
-P_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-
 
 @register("set_ops", sql=with_ctes("""
 SELECT 'union' AS op, user_id FROM (SELECT user_id FROM train UNION SELECT user_id FROM test)
@@ -36,21 +34,17 @@ def q_user_item_lists(spark, sf_dir):
     return lists.select("user_id", F.size("_l").alias("n_items"), F.concat_ws(",", "_l").alias("items"))
 
 
-def _pivot_sql():
-    cols = ", ".join(f"round(coalesce(avg(score) FILTER (WHERE p_type = '{t}'), 0), 9) AS \"{t}\"" for t in P_TYPES)
-    return with_ctes(f"SELECT user_id, {cols} FROM ratings JOIN part ON item_id = p_partkey GROUP BY user_id",
-                     "ratings")
-
-
-@register("rating_pivot", sql=_pivot_sql)
+@register("rating_pivot", sql=with_ctes("""
+SELECT u.user_id, t.p_type, round(coalesce(m.score, 0), 9) AS score
+FROM (SELECT DISTINCT user_id FROM ratings) u CROSS JOIN (SELECT DISTINCT p_type FROM ratings JOIN part ON item_id = p_partkey) t
+LEFT JOIN (SELECT user_id, p_type, avg(score) AS score FROM ratings JOIN part ON item_id = p_partkey GROUP BY ALL) m
+       ON m.user_id = u.user_id AND m.p_type = t.p_type""", "ratings"))
 def q_rating_pivot(spark, sf_dir):
-    """Long -> wide (user x part type, mean score, 0 = none) for a small value domain."""
+    """The wide table of users and part types (mean score, 0 = none) as its cells; the types come from the data."""
     r = ratings(spark, sf_dir).join(table(spark, sf_dir, "part").select("p_partkey", "p_type"),
                                     F.col("item_id") == F.col("p_partkey"))
-    w = r.groupBy("user_id").pivot("p_type", P_TYPES).agg(F.avg("score")).fillna(0.0)
-    for t in P_TYPES:
-        w = w.withColumn(t, F.round(t, 9))
-    return w
+    wide = RS.pivot_mean(r, "user_id", "p_type", "score")
+    return wide.unpivot(["user_id"], [c for c in wide.columns if c != "user_id"], "p_type", "score")
 
 
 @register("dense_ids", sql=with_ctes("""

@@ -8,8 +8,6 @@ batch answers, so they share the batch oracles.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from quarry.plans.derived import points, rating_events, table
@@ -53,10 +51,10 @@ def q_upserts(spark, sf_dir):
     ev = rating_events(spark, sf_dir)
     src = S.split_into_files(ev, 5, spark, "rating-events")
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    name = f"upserts_{uuid.uuid4().hex[:8]}"
-    q = S.upsert_stream(stream, ["user_id", "item_id"], "score", "seq", name, scratch_path(spark, "upsert-ckpt"))
+    state = scratch_path(spark, "upsert-state")
+    q = S.upsert_stream(stream, ["user_id", "item_id"], "score", "seq", state, scratch_path(spark, "upsert-ckpt"))
     q.awaitTermination()
-    return spark.table(name)
+    return S.latest_version(spark, state).select("user_id", "item_id", "score")
 
 
 @register("bfr_stream")

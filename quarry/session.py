@@ -71,9 +71,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a scan that arrives in too few partitions for CPU-heavy rows.
 
-    At cluster scale scans already have thousands of splits and this is a
-    no-op; it only adds a (cheap) shuffle when a whole table sits in a handful
-    of splits, e.g. one small parquet file holding long texts.
+    It adds a shuffle of the rows when the scan has fewer splits than the
+    session has cores, e.g. one small parquet file holding long texts; the
+    result is the same either way.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
@@ -87,6 +87,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once under the shared checkpoint folder and read it back (computed once, lineage cut)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_bucketed(df: DataFrame, name: str, by: str) -> DataFrame:
+    """As ``write_table``, in hash buckets of ``by``: joins and aggregations on ``by`` don't shuffle it again."""
+    import uuid
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"quarry_{name}_{uuid.uuid4().hex[:12]}"
+    (df.repartition(n, by).write.bucketBy(n, by).sortBy(by).option("path", scratch_path(spark, name))
+     .format("parquet").saveAsTable(table))
+    return spark.table(table)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a table written by ``write_table`` that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/tables/" in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -33,7 +33,8 @@ def _lines(spark: SparkSession, paths) -> DataFrame:
 def read_blocks(spark: SparkSession, paths, with_scores: bool = True, strict: bool = True) -> DataFrame:
     """(user_id, item_id[, score]) rows of rating-block files.
 
-    strict=True (A1): a blank line or a malformed row raises.  strict=False
+    strict=True (A1): a blank line, a row before any header, a row with too few
+    or too many fields and a bad number raise, whichever columns are read.  strict=False
     (A2): blank lines and rows with too few fields or bad numbers are skipped.
     """
     df = _lines(spark, paths)
@@ -58,21 +59,20 @@ def read_blocks(spark: SparkSession, paths, with_scores: bool = True, strict: bo
     n_fields = F.when(t == "", F.lit(0)).otherwise(F.size(parts))
     need = 2 if with_scores else 1
     if strict:
-        body = body.withColumn("_chk", F.when(
-            (n_fields < need) | F.col("user_id").isNull(),
-            F.raise_error(F.concat(F.lit("malformed rating line: '"), F.col("line"), F.lit("'")))))
-        item = parts.getItem(0).cast("long")
-        score = parts.getItem(1).cast("double")
+        # The check is part of every returned column, so the optimizer can't prune it.
+        wrong = (n_fields != need) | F.col("user_id").isNull()
+        error = F.raise_error(F.concat(F.lit("malformed rating line: '"), F.col("line"), F.lit("'")))
+        body = body.withColumn("user_id", F.when(wrong, error.cast("long")).otherwise(F.col("user_id")))
+        item = F.when(wrong, error.cast("long")).otherwise(parts.getItem(0).cast("long"))
+        score = F.when(wrong, error.cast("double")).otherwise(parts.getItem(1).cast("double"))
     else:
         body = body.where((n_fields >= need) & F.col("user_id").isNotNull())
         item = F.expr("try_cast(split(trim(line), '\\\\s+')[0] AS BIGINT)")
         score = F.expr("try_cast(split(trim(line), '\\\\s+')[1] AS DOUBLE)")
     cols = [F.col("user_id"), item.alias("item_id")] + ([score.alias("score")] if with_scores else [])
-    out = body.select(*cols, *(["_chk"] if strict else []))
+    out = body.select(*cols)
     if not strict:
         out = out.where(F.col("item_id").isNotNull() & (F.col("score").isNotNull() if with_scores else F.lit(True)))
-    else:
-        out = out.drop("_chk")
     return out
 
 

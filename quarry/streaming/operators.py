@@ -7,8 +7,8 @@ K1 reservoir sample: a uniform sample of size k equals the k rows with the
    whatever the micro-batch boundaries.
 K2 BFR over a chunk stream: every micro-batch is a chunk; state = the k DS
    summaries.
-K3 rating upserts: last write wins per (user, item) -- a streaming aggregate
-   (``max_by`` over the load sequence) whose state lives in Spark's state store.
+K3 rating upserts: last write wins per (user, item) -- every micro-batch is
+   merged into the table by an aggregation on the key; nothing sits on the driver.
 
 foreachBatch state is versioned by batch id (``state_version=<id>``): a replayed batch
 rewrites its own version from version id-1, so re-execution after a failure
@@ -17,8 +17,6 @@ is idempotent.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +34,7 @@ def reservoir_sample(df: DataFrame, k: int, key_cols: list[str], seed: int = 42)
 
 
 VERSION_COL = "state_version"
+DS_SCHEMA = "cluster int, n long, sum array<double>, sumsq array<double>"
 
 
 def _versioned(path: str, batch_id: int) -> str:
@@ -43,13 +42,15 @@ def _versioned(path: str, batch_id: int) -> str:
 
 
 def _read_version(spark: SparkSession, path: str, batch_id: int, schema: str | None):
+    """Version ``batch_id``; only the first batch has no predecessor.
+
+    Every batch writes a version, so a read that fails is an error: it fails
+    the micro-batch, which is then replayed.
+    """
     if batch_id < 0:
         return None
-    try:
-        return spark.read.schema(schema).parquet(_versioned(path, batch_id)) if schema else \
-            spark.read.parquet(_versioned(path, batch_id))
-    except Exception:  # noqa: BLE001 -- no earlier version yet
-        return None
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(_versioned(path, batch_id))
 
 
 def reservoir_stream(stream: DataFrame, k: int, key_cols: list[str], state_path: str, checkpoint: str,
@@ -75,20 +76,34 @@ def reservoir_stream(stream: DataFrame, k: int, key_cols: list[str], state_path:
 def latest_version(spark: SparkSession, path: str) -> DataFrame:
     """Read the highest ``state_version=<id>`` version of a foreachBatch state folder.
 
-    The versions are partition folders, so partition discovery exposes the
-    version column; the newest version is a one-row aggregate (broadcast).
+    The versions are partition folders, so the newest number comes from the
+    folders and only that version's files are read.
     """
     allv = spark.read.parquet(path)
-    top = allv.select(F.max(VERSION_COL).alias("_top"))
-    return allv.join(F.broadcast(top), allv[VERSION_COL] == top["_top"]).drop(VERSION_COL, "_top")
+    top = allv.agg(F.max(VERSION_COL)).first()[0]
+    newest = allv.where(F.lit(False)) if top is None else allv.where(F.col(VERSION_COL) == top)  # a partition filter
+    return newest.drop(VERSION_COL)
 
 
-def upsert_stream(stream: DataFrame, key_cols: list[str], value_col: str, seq_col: str, query_name: str,
+def upsert_stream(stream: DataFrame, key_cols: list[str], value_col: str, seq_col: str, state_path: str,
                   checkpoint: str):
-    """K3: keyed last-write-wins as a streaming aggregate; complete output into a memory table."""
-    agg = stream.groupBy(*key_cols).agg(F.max_by(value_col, seq_col).alias(value_col))
-    return (agg.writeStream.outputMode("complete").format("memory").queryName(query_name)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    """K3: keyed last-write-wins; each micro-batch is merged into a versioned table by an aggregation on the key.
+
+    Returns the started query; ``latest_version(spark, state_path)`` reads the table (with the sequence).
+    """
+    newest = F.max(F.struct(F.col(seq_col).alias("s"), F.col(value_col).alias("v"))).alias("_new")
+
+    def merge(batch: DataFrame, batch_id: int):
+        rows = batch.select(*key_cols, value_col, seq_col)
+        prev = _read_version(batch.sparkSession, state_path, batch_id - 1, None)
+        if prev is not None:
+            rows = prev.unionByName(rows)
+        merged = rows.groupBy(*key_cols).agg(newest).select(
+            *key_cols, F.col("_new.v").alias(value_col), F.col("_new.s").alias(seq_col))
+        merged.write.mode("overwrite").parquet(_versioned(state_path, batch_id))
+
+    return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
 
 def bfr_stream(stream: DataFrame, k: int, state_path: str, out_path: str, checkpoint: str,
@@ -103,10 +118,15 @@ def bfr_stream(stream: DataFrame, k: int, state_path: str, out_path: str, checkp
     def step(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
         pts = batch.select("id", x_col).cache()
-        if pts.limit(1).count() == 0:
+        prev = _read_version(spark, state_path, batch_id - 1, DS_SCHEMA)
+        seeded = prev is not None and not prev.isEmpty()
+        if pts.isEmpty():
+            # an empty batch hands on the summaries, so the next one finds them
+            (prev if prev is not None else spark.createDataFrame([], DS_SCHEMA)).write.mode("overwrite").parquet(
+                _versioned(state_path, batch_id))
+            pts.unpersist()
             return
-        prev = _read_version(spark, state_path, batch_id - 1, None)
-        if prev is None:
+        if not seeded:
             labels, _, _ = C.kmeans(pts, k, init_rounds, tol=None, seed=seed, x_col=x_col)
             dim = len(pts.first()[x_col])
             lab = labels.select("id", "cluster").join(pts, "id")
@@ -118,8 +138,8 @@ def bfr_stream(stream: DataFrame, k: int, state_path: str, out_path: str, checkp
             assigned, summ = C.bfr_chunk(pts, summ, threshold, x_col)
         assigned.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
         rows = [(int(c), int(n), [float(v) for v in s], [float(v) for v in q]) for c, (n, s, q) in summ.items()]
-        spark.createDataFrame(rows, "cluster int, n long, sum array<double>, sumsq array<double>").write.mode(
-            "overwrite").parquet(_versioned(state_path, batch_id))
+        spark.createDataFrame(rows, DS_SCHEMA).write.mode("overwrite").parquet(_versioned(state_path, batch_id))
+        pts.unpersist()
 
     return (stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -133,4 +153,4 @@ def split_into_files(df: DataFrame, n_files: int, spark: SparkSession, name: str
 
 
 __all__ = ["reservoir_sample", "reservoir_stream", "latest_version", "upsert_stream", "bfr_stream",
-           "split_into_files", "sample_key", "json"]
+           "split_into_files", "sample_key"]

@@ -78,3 +78,45 @@ def test_mlp_early_stopping_keeps_best(spark):
     best = min(v for _, v in log)
     got = L.bce(df.select("y", L.mlp_forward_expr("x", p).alias("p"))).first()[0]
     assert got == pytest.approx(best, abs=1e-12)
+
+
+def test_streams_keep_their_state_over_empty_batches(spark):
+    """Batches of 40, 0 and 40 rows: the third finds the first one's summaries and sample."""
+    from quarry.session import scratch_path
+    pts = blobs(spark, 80).select("id", "x")
+    parts = [pts.where("id < 40"), pts.where("id < 0"), pts.where("id >= 40")]
+
+    class Stream:
+        schema = pts.schema
+
+        @property
+        def writeStream(self):
+            return self
+
+        def foreachBatch(self, f):
+            for k, part in enumerate(parts):
+                f(part, k)
+            return self
+
+        def option(self, *a):
+            return self
+
+        def trigger(self, **k):
+            return self
+
+        def start(self):
+            return self
+
+    state = scratch_path(spark, "bfr-state")
+    S.bfr_stream(Stream(), 3, state, scratch_path(spark, "bfr-out"), "", threshold=100.0)
+    assert S.latest_version(spark, state).agg(F.sum("n")).first()[0] == 80
+    sample = scratch_path(spark, "res-state")
+    S.reservoir_stream(Stream(), 10, ["id"], sample, "")
+    want = sorted(r.id for r in S.reservoir_sample(pts, 10, ["id"]).collect())
+    assert sorted(r.id for r in S.latest_version(spark, sample).collect()) == want
+
+
+def test_a_failing_state_read_fails_the_batch(spark):
+    with pytest.raises(Exception):
+        S._read_version(spark, "/tmp/no-such-state", 3, None)
+    assert S._read_version(spark, "/tmp/no-such-state", -1, None) is None

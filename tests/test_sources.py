@@ -39,6 +39,15 @@ def test_blank_lines_strict_and_permissive(spark):
         ratings_text.read_blocks(spark, path, strict=True).collect()
 
 
+@pytest.mark.parametrize("text", ["5 60\n0|1\n7 50\n", "0|1\n5 60 9\n", "0|1\n5\n"])
+def test_strict_reader_raises_whatever_is_selected(spark, text):
+    path = scratch_path(spark, "blocks-wrong").replace("file:", "")
+    _write(path, text)
+    for columns in (["user_id"], ["item_id"], ["score"]):
+        with pytest.raises(Exception, match="malformed rating line"):
+            ratings_text.read_blocks(spark, path, strict=True).select(*columns).collect()
+
+
 def test_block_sink_round_trip_and_count_check(spark):
     r = spark.createDataFrame([(2, 7, 20.5), (2, 3, 21.5), (1, 9, 99.0)], "user_id long, item_id long, score double")
     lines = [(x.user_id, x.line_no, x.line) for x in ratings_text.block_lines(r, "round").collect()]
