@@ -6,10 +6,11 @@ tables so that every query's work grows with the data:
 
 - ratings:  o_custkey -> user_id, l_partkey -> item_id, avg(l_quantity) -> score
 - baskets:  per l_orderkey the distinct p_brand values (lineitem x part)
-- graph:    vertices = parts (id 2 * key) and customers (id 2 * key + 1); a customer
-            links to every part of the customer's orders, a part links to every
-            customer who returned it.  Customers without orders and parts never
-            returned are dangling.  All lineitems take part.
+- graph:    vertices = parts (id 3 * key), customers (3 * key + 1) and suppliers
+            (3 * key + 2); a customer links to every part of the customer's orders,
+            a part to every customer who returned it and to its suppliers.
+            Suppliers, customers without orders and parts never ordered are
+            dangling.  All lineitems take part.
 - points:   embeddings.embedding (as doubles), labelled y = label >= 5
 - splits:   md5 of 'user|item' -> first 8 hex digits mod 10 < 8 means train
 
@@ -74,18 +75,20 @@ def basket_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part").select((F.col("p_partkey") * 2).alias("id"))
-    return parts.union(table(spark, sf_dir, "customer").select((F.col("c_custkey") * 2 + 1).alias("id")))
+    parts = table(spark, sf_dir, "part").select((F.col("p_partkey") * 3).alias("id"))
+    return parts.union(table(spark, sf_dir, "customer").select((F.col("c_custkey") * 3 + 1).alias("id"))).union(
+        table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 3 + 2).alias("id")))
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    part, customer = F.col("l_partkey") * 2, F.col("o_custkey") * 2 + 1
+    part, customer = F.col("l_partkey") * 3, F.col("o_custkey") * 3 + 1
     both = li.join(o, li.l_orderkey == o.o_orderkey).select(part.alias("part"), customer.alias("customer"), "l_returnflag")
     bought = both.select(F.col("customer").alias("src"), F.col("part").alias("dst"))
     returned = both.where("l_returnflag = 'R'").select(F.col("part").alias("src"), F.col("customer").alias("dst"))
-    return bought.union(returned).distinct()
+    supplied = li.select(part.alias("src"), (F.col("l_suppkey") * 3 + 2).alias("dst"))
+    return bought.union(returned).union(supplied).distinct()
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,10 +116,12 @@ SQL = {
     "basket_items": """
         SELECT DISTINCT l_orderkey AS tid, p_brand AS item
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
-    "vertices": "SELECT p_partkey * 2 AS id FROM part UNION ALL SELECT c_custkey * 2 + 1 FROM customer",
+    "vertices": "SELECT p_partkey * 3 AS id FROM part UNION ALL SELECT c_custkey * 3 + 1 FROM customer "
+                "UNION ALL SELECT s_suppkey * 3 + 2 FROM supplier",
     "edges": """
-        SELECT o_custkey * 2 + 1 AS src, l_partkey * 2 AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        UNION SELECT l_partkey * 2, o_custkey * 2 + 1 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        SELECT o_custkey * 3 + 1 AS src, l_partkey * 3 AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        UNION SELECT l_partkey * 3, l_suppkey * 3 + 2 FROM lineitem
+        UNION SELECT l_partkey * 3, o_custkey * 3 + 1 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         WHERE l_returnflag = 'R'""",
     "points": "SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x, label FROM embeddings",
 }

@@ -32,23 +32,23 @@ def _topic_ids(spark, sf_dir):
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").where(F.col("r_name") == "ASIA").select("r_regionkey")
     return (c.join(n, c.c_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
-            .select((F.col("c_custkey") * 2 + 1).alias("id")))
+            .select((F.col("c_custkey") * 3 + 1).alias("id")))
 
 
 def _trusted_ids(spark, sf_dir):
-    return table(spark, sf_dir, "customer").where(F.col("c_acctbal") > 9000).select((F.col("c_custkey") * 2 + 1).alias("id"))
+    return table(spark, sf_dir, "customer").where(F.col("c_acctbal") > 9000).select((F.col("c_custkey") * 3 + 1).alias("id"))
 
 
 BASE = [f"vertices AS ({SQL['vertices']})", f"edges AS ({SQL['edges']})"]
 TOPIC_SQL = [
-    """topic_ids AS (SELECT c_custkey * 2 + 1 AS id FROM customer JOIN nation ON c_nationkey = n_nationkey
+    """topic_ids AS (SELECT c_custkey * 3 + 1 AS id FROM customer JOIN nation ON c_nationkey = n_nationkey
                      JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA')""",
     f"""topic_raw AS (SELECT v.id, CASE WHEN t.id IS NOT NULL THEN {dbl(0.4)} ELSE {dbl(0.05)} END AS w
                      FROM vertices v LEFT JOIN topic_ids t ON t.id = v.id)""",
     "topic_v AS (SELECT id, w / (SELECT sum(w) FROM topic_raw) AS v FROM topic_raw)",
 ]
 TRUST_SQL = [
-    "trusted_ids AS (SELECT c_custkey * 2 + 1 AS id FROM customer WHERE c_acctbal > 9000)",
+    "trusted_ids AS (SELECT c_custkey * 3 + 1 AS id FROM customer WHERE c_acctbal > 9000)",
     f"""trust_v AS (SELECT v.id, CASE WHEN t.id IS NOT NULL THEN {dbl(0.9)} / (SELECT count(*) FROM trusted_ids)
                     WHEN (SELECT count(*) FROM vertices) - (SELECT count(*) FROM trusted_ids) > 0
                     THEN {dbl(1 - 0.9)} / ((SELECT count(*) FROM vertices) - (SELECT count(*) FROM trusted_ids))
