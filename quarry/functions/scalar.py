@@ -19,6 +19,12 @@ def relu(z: Column) -> Column:
     return F.greatest(z, F.lit(0.0))
 
 
+def softmax(z: Column) -> Column:
+    """Softmax of an array, shifted by its largest value."""
+    e = F.transform(z, lambda x: F.exp(x - F.array_max(z)))
+    return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda s, y: s + y))
+
+
 def step(z: Column, threshold: float = 0.0) -> Column:
     """1 when z >= threshold, else 0 (C11)."""
     return F.when(z >= threshold, F.lit(1.0)).otherwise(F.lit(0.0))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import md5_32
-from quarry.session import cut_lineage
+from quarry.session import write_table
 
 
 def bipartite_edges(ratings: DataFrame, weight: str | None = None) -> DataFrame:
@@ -45,18 +45,36 @@ def seeded_embeddings(nodes: DataFrame, dim: int, scale: float = 0.2, seed: int
 
 def propagate(norm_edges: DataFrame, emb0: DataFrame, layers: int = 3) -> DataFrame:
     """Mean of E^0..E^L with E^(l+1) = A_hat E^l; returns (node, f, val)."""
+    norm_edges, emb0 = write_table(norm_edges, "gcn-edges"), write_table(emb0, "gcn-layer")
     cur = emb0
     total = emb0.select("node", "f", F.col("val").alias("_s"))
     for _ in range(layers):
         nxt = (norm_edges.join(cur.select(F.col("node").alias("src"), "f", "val"), "src")
                .groupBy(F.col("dst").alias("node"), "f").agg(F.sum(F.col("w") * F.col("val")).alias("val")))
-        nxt = cut_lineage(nxt)
+        nxt = write_table(nxt, "gcn-layer")
         total = (total.join(nxt, ["node", "f"], "left")
                  .select("node", "f", (F.col("_s") + F.coalesce("val", F.lit(0.0))).alias("_s")))
         cur = nxt
     return total.select("node", "f", (F.col("_s") / F.lit(float(layers + 1))).alias("val"))
 
 
+def layers_of(norm_edges: DataFrame, first: DataFrame, dim: int, layers: int) -> DataFrame:
+    """(node, l0, l1, ...): the layers of E^(l+1) = A_hat E^l as arrays, from ``first`` (node, val).
+
+    An edge is shuffled once a layer with the whole array.  ``norm_edges`` should be a written table.
+    """
+    out = write_table(first.select("node", F.col("val").alias("l0")), "gcn-layer")
+    cur = out.select("node", F.col("l0").alias("val"))
+    none = F.array(*[F.lit(0.0)] * dim)
+    for k in range(1, layers + 1):
+        sums = F.array(*[F.sum(F.col("w") * F.col("val")[f]) for f in range(dim)])
+        cur = write_table(norm_edges.join(cur.select(F.col("node").alias("src"), "val"), "src")
+                          .groupBy(F.col("dst").alias("node")).agg(sums.alias("val")), "gcn-layer")
+        out = out.join(cur.select("node", F.col("val").alias(f"l{k}")), "node", "left").withColumn(
+            f"l{k}", F.coalesce(f"l{k}", none))
+    return out
+
+
 def score_pairs(emb: DataFrame, pairs: DataFrame) -> DataFrame:
     """Dot product of the final user and item embeddings for (user_id, item_id) pairs."""
     u = emb.select(F.col("node").alias("_u"), "f", F.col("val").alias("_eu"))

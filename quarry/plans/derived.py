@@ -12,7 +12,8 @@ tables so that every query's work grows with the data:
             Suppliers, customers without orders and parts never ordered are
             dangling.  All lineitems take part.
 - points:   embeddings.embedding (as doubles), labelled y = label >= 5
-- splits:   md5 of 'user|item' -> first 8 hex digits mod 10 < 8 means train
+- splits:   md5 of 'user|item' -> first 8 hex digits mod 10 < 8 means train, but for
+            users and items with md5 mod 25 = 0: they are held out, so that test has unknown keys
 
 Each derivation has a DuckDB twin in ``SQL`` used by the oracles.
 """
@@ -28,6 +29,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+HELD_OUT = 25   # one of so many users and items is in test only
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -55,7 +59,8 @@ def rating_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_split(r: DataFrame, train_buckets: int = 8) -> DataFrame:
-    return r.withColumn("is_train", md5_bucket("user_id", "item_id", modulus=10) < train_buckets)
+    known = (md5_bucket("user_id", modulus=HELD_OUT) != 0) & (md5_bucket("item_id", modulus=HELD_OUT) != 0)
+    return r.withColumn("is_train", (md5_bucket("user_id", "item_id", modulus=10) < train_buckets) & known)
 
 
 def train_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,9 +112,11 @@ SQL = {
         SELECT o_custkey AS user_id, l_partkey AS item_id, avg(l_quantity) AS score
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         GROUP BY o_custkey, l_partkey""",
-    "ratings_split": """
+    "ratings_split": f"""
         SELECT user_id, item_id, score,
-               (('0x' || substr(md5(CAST(user_id AS VARCHAR) || '|' || CAST(item_id AS VARCHAR)), 1, 8))::BIGINT % 10) < 8 AS is_train
+               (('0x' || substr(md5(CAST(user_id AS VARCHAR) || '|' || CAST(item_id AS VARCHAR)), 1, 8))::BIGINT % 10) < 8
+               AND ('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % {HELD_OUT} <> 0
+               AND ('0x' || substr(md5(CAST(item_id AS VARCHAR)), 1, 8))::BIGINT % {HELD_OUT} <> 0 AS is_train
         FROM ratings""",
     "train": "SELECT user_id, item_id, score FROM ratings_split WHERE is_train",
     "test": "SELECT user_id, item_id, score FROM ratings_split WHERE NOT is_train",

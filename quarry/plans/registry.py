@@ -36,6 +36,6 @@ def register(name: str, sql: str | Callable[[], str] | None = None, bench: bool
 def load_all() -> dict[str, Entry]:
     # Importing the plan modules fills REGISTRY.
     from quarry.plans import (  # noqa: F401
-        clusters, graphs, io_plans, learning, patterns, recs, relational, similarity, streams,
+        clusters, factors, graphs, io_plans, learning, patterns, recs, relational, similarity, streams,
     )
     return REGISTRY
