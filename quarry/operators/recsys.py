@@ -28,13 +28,38 @@ def counts_by(ratings: DataFrame, key: str) -> DataFrame:
     return ratings.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
+def quantiles(df: DataFrame, col: str, shares: dict[str, float]) -> DataFrame:
+    """One row of quantiles with linear interpolation, by the positions of the sorted values; null without values.
+
+    Values are counted, range-partitioned and numbered by running counts per
+    partition, so no task holds all distinct values.
+    """
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    dealt = write_table(counts.repartitionByRange("_v").withColumn("_p", F.spark_partition_id()), "value-counts")
+    before = dealt.groupBy("_p").agg(F.sum("_c").alias("_s")).select("_p", F.coalesce(F.sum("_s").over(
+        W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # one row per partition
+    upto = F.sum("_c").over(W.partitionBy("_p").orderBy("_v").rowsBetween(W.unboundedPreceding, 0))
+    total = dealt.agg(F.sum("_c").alias("_n"))
+    placed = (dealt.withColumn("_upto", upto).join(F.broadcast(before), "_p").crossJoin(F.broadcast(total))  # one row
+              .withColumn("_upto", F.col("_upto") + F.col("_before")))
+    out, aggs = [], []
+    for name, share in shares.items():
+        place = (F.col("_n") - 1) * F.lit(share)
+        aggs += [F.min(F.when(F.col("_upto") > F.floor(place), F.col("_v"))).alias(f"_lo_{name}"),
+                 F.min(F.when(F.col("_upto") > F.ceil(place), F.col("_v"))).alias(f"_hi_{name}"),
+                 F.max(place - F.floor(place)).alias(f"_at_{name}")]
+        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        out.append((low + (high - low) * F.col(f"_at_{name}")).cast("double").alias(name))
+    return placed.agg(*aggs).select(*out)
+
+
 def describe(ratings: DataFrame, col: str = R) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation), max."""
     c = F.col(col)
-    return ratings.agg(
-        F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-        F.min(c).alias("min"), F.percentile(c, 0.25).alias("q25"), F.percentile(c, 0.5).alias("q50"),
-        F.percentile(c, 0.75).alias("q75"), F.max(c).alias("max"))
+    base = ratings.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+                       F.min(c).alias("min"), F.max(c).alias("max"))
+    return base.crossJoin(quantiles(ratings, col, {"q25": 0.25, "q50": 0.5, "q75": 0.75})).select(  # one row each
+        "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def user_means(ratings: DataFrame) -> DataFrame:

@@ -109,13 +109,18 @@ def format_score(score, mode: str = "round"):
     return score.cast("string")
 
 
-def block_lines(ratings: DataFrame, mode: str = "round", with_scores: bool = True) -> DataFrame:
+def block_lines(ratings: DataFrame, mode: str = "round", with_scores: bool = True,
+                declared: DataFrame | None = None) -> DataFrame:
     """A10: (user_id, line_no, line): header ``user|n`` (line 0) then items ascending.
 
+    n is the user's number of rows, or that of ``declared`` (user_id, declared) where given.
+
     Long form, no per-user collect: the header comes from a count per user and
     the item lines keep their rows; ``write_blocks`` orders them when writing.
     """
-    hdr = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).select(
+    if declared is None:
+        declared = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("declared"))
+    hdr = declared.withColumnRenamed("declared", "_n").select(
         "user_id", F.lit(0).alias("line_no"),
         F.concat(F.col("user_id").cast("string"), F.lit("|"), F.col("_n").cast("string")).alias("line"))
     w = W.partitionBy("user_id").orderBy("item_id")
@@ -126,11 +131,12 @@ def block_lines(ratings: DataFrame, mode: str = "round", with_scores: bool = Tru
     return hdr.unionByName(rows)
 
 
-def write_blocks(ratings: DataFrame, path: str, mode: str = "round", with_scores: bool = True) -> None:
+def write_blocks(ratings: DataFrame, path: str, mode: str = "round", with_scores: bool = True,
+                 declared: DataFrame | None = None) -> None:
     """Write the block file(s): range-partitioned by user, sorted, one text part per range.
 
     Part files are in user order, so their concatenation is the full file.
     """
-    lines = block_lines(ratings, mode, with_scores)
+    lines = block_lines(ratings, mode, with_scores, declared)
     (lines.repartitionByRange("user_id").sortWithinPartitions("user_id", "line_no")
      .select("line").write.mode("overwrite").text(path))

@@ -53,3 +53,12 @@ def test_dense_ids(spark):
     ids = spark.createDataFrame([(i * 3,) for i in range(50)], "u long").repartition(5)
     got = sorted((r.u, r.idx) for r in RS.dense_ids(ids, "u").collect())
     assert got == [(i * 3, i) for i in range(50)]
+
+
+def test_quantiles_by_position(spark):
+    import numpy as np
+    values = [float(v) for v in np.random.default_rng(4).integers(0, 30, 400)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "score double").repartition(5)
+    got = RS.quantiles(df, "score", {"a": 0.0, "b": 0.1, "c": 0.333, "d": 0.5, "e": 1.0}).first()
+    assert list(got) == pytest.approx(list(np.quantile(values, [0.0, 0.1, 0.333, 0.5, 1.0])))
+    assert list(RS.quantiles(df.where("score < 0"), "score", {"a": 0.5}).first()) == [None]
