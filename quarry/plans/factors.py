@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quarry.functions.scalar import scale_score
 from quarry.operators import factors as FA
 from quarry.operators import gcn
+from quarry.operators import neural
 from quarry.operators import recsys as RS
 from quarry.plans.derived import ratings, test_ratings, train_ratings, with_ctes
 from quarry.plans.recs import BIAS_SQL, GCN_DIM, REG, _bias, _gcn_sql
@@ -199,3 +200,20 @@ def q_attention(spark, sf_dir):
          .select("user_id", "item_id", FA.dot(F.col("_p"), F.col("_q")).alias("score")))
     return s.select("user_id", "item_id", F.round("score", DIG).alias("score"),
                     F.round(scale_score(F.col("score")), DIG).alias("scaled"))
+
+
+NEURAL_ROUNDS = 12
+
+
+@register("neural_cf")
+def q_neural_cf(spark, sf_dir):
+    """A three-layer network on trained embeddings, test split."""
+    model = neural.fit(train_ratings(spark, sf_dir), rounds=NEURAL_ROUNDS)
+    return neural.scores(test_ratings(spark, sf_dir), model)
+
+
+@register("embedding_mlp")
+def q_embedding_mlp(spark, sf_dir):
+    """One hidden layer on trained embeddings, test split."""
+    model = neural.fit(train_ratings(spark, sf_dir), dim=16, hidden=(128,), rounds=NEURAL_ROUNDS)
+    return neural.scores(test_ratings(spark, sf_dir), model)
