@@ -192,3 +192,20 @@ def test_secret_scan(spark, docs_of):
     assert by[903][0].is_secret and by[903][0].word_no == 3 and 900 not in by and 901 not in by
     assert len(by[902]) == 1
     assert secrets.scan(docs_of(rows).limit(0)).count() == 0
+
+
+def test_secret_candidates_inside_words(spark, docs_of):
+    ghp, hexed = "ghp_" + "aB3dE6" * 6, "a1b2c3d4e5f60718"
+    long = ["k9" * 9, "m7" * 9]
+    cases = {1: (f"see https://h.example/cb?token={ghp}&u=1 now", [ghp]), 2: (f'{{"token":"{ghp}","id":5}}', [ghp]),
+             3: (f"https://bob:{ghp}@github.com", [ghp]), 4: (f"password={hexed};host=db1", [hexed]),
+             5: (f"a={long[0]},b={long[1]}", long), 6: (".".join([*long, hexed]), [*long, hexed]),
+             7: ("password=Hunter2!xyz9", ["Hunter2!xyz9"]), 8: ('the "password": "Hun&ter2" here', ["Hun&ter2"]),
+             9: ("https://bob:s3cr!t@db.example/x", ["s3cr!t"]), 10: ("the word token itself, password tokens and key=value", []),
+             11: (f"api_key={hexed},next={long[0]}", [hexed, long[0]]), 12: ("aws_secret_access_key=x7", ["aws_secret_access_key", "x7"])}
+    got = secrets.candidates(docs_of([(k, t) for k, (t, _) in cases.items()])).orderBy("id", "word_no", "run_no").collect()
+    assert {k: [r.value for r in got if r.id == k] for k in cases} == {k: v for k, (_, v) in cases.items()}
+    assert len({(r.id, r.word_no, r.run_no) for r in got}) == len(got)
+    label = {(r.id, r.value): r.label for r in secrets.known_findings(spark.createDataFrame(got)).collect()}
+    assert all(label[k, ghp] == 1 for k in (1, 2, 3)) and label[11, hexed] == 1 and label[11, long[0]] is None
+    assert label[7, "Hunter2!xyz9"] == 1 and label[12, "aws_secret_access_key"] == 0
