@@ -35,6 +35,7 @@ TREES, DEPTH = 20, 6
 NEAR = 200            # characters of a word kept on either side of a candidate
 KEYWORD = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api_?key|access_?key|credential|auth|bearer)"
 DICTIONARY_SHARE = 0.002
+SHORTEST, LONGEST = 3, 16     # letters of a dictionary word
 RUN = rf"[A-Za-z0-9+/_\-]{{{LEAST},}}"
 _KEY = KEYWORD + r"[A-Za-z0-9_.\-\]\"'\\]{0,40}"      # a keyword and what may follow it in a name
 _OPEN = r"[\"'(\[\\]{0,3}"
@@ -91,10 +92,10 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(entry): words of 3 to 6 letters found in at least DICTIONARY_SHARE of the documents."""
+    """(entry): words of SHORTEST to LONGEST letters found in at least DICTIONARY_SHARE of the documents."""
     n = docs.count()
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))),
-                                                  F.lit(r"(?<![a-z])[a-z]{3,6}(?![a-z])"), F.lit(0)))
+                                                  F.lit(rf"(?<![a-z])[a-z]{{{SHORTEST},{LONGEST}}}(?![a-z])"), F.lit(0)))
     return (docs.select(F.explode(words).alias("entry")).groupBy("entry").agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") >= max(2, DICTIONARY_SHARE * n)).select("entry"))
 
@@ -121,20 +122,33 @@ def _in_url() -> Column:
     return F.col("path").rlike("://[^/@:]*:$") & _rest().startswith("@")
 
 
+def coverage(found: DataFrame, words: DataFrame) -> DataFrame:
+    """(value, covered): letters of a value that dictionary words cover, for values that have any.
+
+    Words lie within runs of letters, so each distinct run is looked up once: its pieces
+    of up to LONGEST letters, one for each place, and their beginnings.
+    """
+    parts = found.select("value").distinct().select("value", F.explode(
+        F.regexp_extract_all(F.lower("value"), F.lit(f"[a-z]{{{SHORTEST},}}"), F.lit(0))).alias("part"))
+    at = parts.select("part").distinct().select("part", F.explode(
+        F.sequence(F.lit(1), F.length("part") - (SHORTEST - 1))).alias("i"))
+    pieces = at.select(F.sha1("part").alias("key"), "i",
+                       F.substring(F.col("part"), F.col("i"), F.lit(LONGEST)).alias("piece"))
+    sizes = F.sequence(F.lit(SHORTEST), F.length("piece"))
+    hits = pieces.select("key", "i", F.explode(F.transform(sizes, lambda n: F.struct(
+        n.alias("size"), F.substring(F.col("piece"), F.lit(1), n).alias("entry")))).alias("p")).select(
+        "key", "i", "p.size", "p.entry").join(words, "entry", "left_semi")
+    letters = (hits.select("key", F.explode(F.sequence(F.col("i"), F.col("i") + F.col("size") - 1)).alias("place"))
+               .distinct().groupBy("key").agg(F.count(F.lit(1)).alias("n")))
+    return (parts.select("value", F.sha1("part").alias("key")).join(letters, "key")
+            .groupBy("value").agg(F.sum("n").alias("covered")))
+
+
 def featured(found: DataFrame, words: DataFrame) -> DataFrame:
     """Candidates with the columns FEATURES."""
     v, n = F.col("value"), F.length("value").cast("double")
     key = F.sha2("value", 256)
-    values = found.select("value").distinct()
-    low = values.select("value", F.lower("value").alias("low"))
-    places = F.flatten(F.transform(F.sequence(F.lit(3), F.lit(6)), lambda size: F.when(
-        F.length("low") >= size, F.transform(F.sequence(F.lit(1), F.length("low") - size + 1), lambda i: F.struct(
-            i.alias("i"), size.alias("size"), F.substring(F.col("low"), i, size).alias("entry")))).otherwise(F.array().cast(
-                "array<struct<i:int,size:int,entry:string>>"))))
-    hits = (low.select("value", F.explode(places).alias("p")).select("value", "p.i", "p.size", "p.entry")
-            .where(F.col("entry").rlike("^[a-z]+$")).join(words, "entry", "left_semi"))
-    cover = (hits.select("value", F.explode(F.sequence(F.col("i"), F.col("i") + F.col("size") - 1)).alias("place"))
-             .distinct().groupBy("value").agg(F.count(F.lit(1)).alias("covered")))
+    cover = coverage(found, words)
     out = found.join(cover, "value", "left")
     turns = sum((_class(v, p) for p in (r"[0-9](?=[A-Za-z])", r"[A-Za-z](?=[0-9])", r"[a-z](?=[A-Z])", r"[A-Z](?=[a-z])")), F.lit(0.0))
     return out.withColumns({
@@ -169,7 +183,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_
     the documents' own plain cases are used, but those of ids with crc32 mod 5 = 0, at most ``most`` of each class.
     """
     words = written(dictionary(docs, text_col), "secret-words")
-    found = written(known_findings(featured(candidates(docs, id_col, text_col), words)), "secret-candidates")
+    at = written(candidates(docs, id_col, text_col), "secret-places")      # read three times for the features
+    found = written(known_findings(featured(at, words)), "secret-candidates")
     if labelled is None:
         known = found.where(F.col("label").isNotNull()
                             & (F.pmod(F.crc32(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(5)) != 0))

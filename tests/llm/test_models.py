@@ -209,3 +209,13 @@ def test_secret_candidates_inside_words(spark, docs_of):
     label = {(r.id, r.value): r.label for r in secrets.known_findings(spark.createDataFrame(got)).collect()}
     assert all(label[k, ghp] == 1 for k in (1, 2, 3)) and label[11, hexed] == 1 and label[11, long[0]] is None
     assert label[7, "Hunter2!xyz9"] == 1 and label[12, "aws_secret_access_key"] == 0
+
+
+def test_dictionary_covers_long_words(spark, docs_of):
+    docs = docs_of([(k, "the configuration parameters of internationalizations") for k in range(3)])
+    words = secrets.dictionary(docs)
+    assert {r.entry for r in words.collect()} == {"the", "configuration", "parameters"}
+    values = ["configuration/parameters", "Configuration9theta/the-config", "x9y8z7x9y8z7x9y8", "theparameters/theparameters"]
+    got = {r.value: r.covered for r in secrets.coverage(spark.createDataFrame([(v,) for v in values * 2], "value string"),
+                                                        words).collect()}
+    assert got == {values[0]: 23, values[1]: 19, values[3]: 26}
