@@ -143,12 +143,12 @@ def _intersections(at: np.ndarray, code: np.ndarray, n: int) -> np.ndarray:
     at, code = at[often[code]], place[code[often[code]]]
     order = np.argsort(code, kind="stable")
     at, code = at[order], code[order]
-    out = np.zeros((n, n), np.float32)
+    out = np.zeros((n, n), np.int64)
     for lo in range(0, int(code[-1]) + 1 if len(code) else 0, 4096):
         a, b = np.searchsorted(code, [lo, lo + 4096])
         x = np.zeros((n, 4096), np.float32)
         x[at[a:b], code[a:b] - lo] = 1
-        out += x @ x.T
+        out += (x @ x.T).astype(np.int64)     # at most 4,096 each, exact in float32
     return out
 
 
@@ -184,7 +184,7 @@ def _links_in_blocks(percent: int):
                 at = np.repeat(np.arange(hi - lo), size)
                 code = np.unique(own.flatten().to_numpy(), return_inverse=True)[1]
                 a, b = links(col["rep"][lo:hi], col["part"][lo:hi], col["blk"][lo:hi], col["i"][lo], col["j"][lo], at, code,
-                             size.astype(np.float32))
+                             size.astype(np.int64))
                 found[0].append(a)
                 found[1].append(b)
         if not found[0]:

@@ -4,6 +4,8 @@ import hashlib
 import random
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from quarry.llm import bpe, line_dedup, minhash, shards, winnow
@@ -164,3 +166,17 @@ def test_blocks_of_a_large_bucket_lose_no_link(docs_of, monkeypatch):
     linked = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
     for a, b in linked:
         assert got[a] == got[b]
+
+
+def test_links_of_long_texts_are_decided_in_integers():
+    n, common = 200_024, 179_027        # 100 * common is just below 81 * union; in float32 both are the same
+    assert 100 * common == 81 * (2 * n - common) - 1
+
+    def edges(both):
+        sets = [np.arange(n), np.arange(n - both, 2 * n - both)]
+        rows = pa.RecordBatch.from_pydict({
+            "rep": [1, 2], "part": [1, 2], "blk": [0, 0], "i": [0, 0], "j": [0, 0], "gid": [5, 5],
+            "shingles": pa.array([s.tolist() for s in sets], pa.list_(pa.int64()))})
+        return [r for b in minhash._links_in_blocks(81)(iter([rows])) for r in b.to_pylist()]
+
+    assert edges(common) == [] and edges(common + 1) == [{"a": 2, "b": 1}]
