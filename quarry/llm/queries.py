@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, line_dedup, minhash, resampling, secrets, shards, toxicity, vector_dedup, winnow
+from quarry.llm import (bpe, chat, filter_audit, hard_negatives, line_dedup, minhash, packing, resampling, secrets, shards, toxicity,
+                        vector_dedup, winnow)
 from quarry.llm.common import table
 
 
@@ -164,12 +165,78 @@ FROM d JOIN c ON c.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their 120 orders, by language."""
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+e AS (SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+g AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+      FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN e.doc_id > least THEN 'E' ELSE '' END AS failed
+      FROM e LEFT JOIN g ON e.doc_id = g.doc_id),
+c AS (SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, failed),
+p(o) AS (SELECT '' UNION ALL SELECT o || f FROM p, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) x(f) WHERE NOT contains(o, f)),
+s AS (SELECT o AS filter_order, k AS step, o[k] AS f, o[1:k - 1] AS before FROM p, range(1, 6) r(k) WHERE length(o) = 5),
+x AS (SELECT part, filter_order, step, f,
+             sum(CASE WHEN reached AND NOT hit THEN n ELSE 0 END) AS kept, sum(CASE WHEN reached AND hit THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN hit AND NOT reached THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN failed = f THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN reached AND hit THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN reached AND hit THEN toxic ELSE 0 END) AS toxic_lost
+      FROM (SELECT *, contains(failed, f) AS hit, translate(failed, before, '') = failed AS reached FROM c, s)
+      GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM x
+"""
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+OP12_SQL = """
+WITH v AS (SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.id AS anchor_id, x.id AS id, a.label = x.label AS same, list_inner_product(a.e, x.e)::BIGINT AS score
+      FROM v a JOIN v x ON a.id % 100 = 0 AND a.id <> x.id AND len(a.e) = len(x.e)),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.anchor_id, positive_id, positive_score, s.id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS rank
+      FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+       AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2,048 tokens, as digests of their pieces."""
+    import public_tokenizers
+    pieces = packing.pack_texts(table(spark, sf_dir, "documents"), packing.load_tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json")),
+                                with_ids=False)
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_line_dedup": op1_line_dedup, "op2_vector_dedup": op2_vector_dedup,
             "op3_chat_format": op3_chat_format, "op4_toxicity": op4_toxicity, "op5_quality_resampling": op5_quality_resampling,
             "op7_secret_scan": op7_secret_scan, "op6_byte_bpe": op6_byte_bpe, "op8_sharding": op8_sharding,
-            "op9_decontamination": op9_decontamination, "op10_minhash": op10_minhash}
+            "op9_decontamination": op9_decontamination, "op10_minhash": op10_minhash, "op11_filter_audit": op11_filter_audit,
+            "op12_hard_negatives": op12_hard_negatives, "op13_packing": op13_packing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op2_vector_dedup": OP2_SQL, "op3_chat_format": OP3_SQL, "op9_decontamination": OP9_SQL, "op10_minhash": OP10_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op2_vector_dedup": OP2_SQL, "op3_chat_format": OP3_SQL, "op9_decontamination": OP9_SQL, "op10_minhash": OP10_SQL,
+            "op11_filter_audit": OP11_SQL, "op12_hard_negatives": OP12_SQL}

@@ -121,3 +121,56 @@ def segment_starts(row: np.ndarray) -> np.ndarray:
 
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
+
+
+def _ascii_kinds() -> np.ndarray:
+    """1 letters, 2 digits, 3 other visible characters but the apostrophe, 0 all other bytes."""
+    kind = np.zeros(256, np.uint8)
+    kind[0x21:0x7F] = 3
+    kind[0x30:0x3A] = 2
+    kind[0x41:0x5B] = kind[0x61:0x7B] = 1
+    kind[0x27] = 0
+    return kind
+
+
+_KIND = _ascii_kinds()
+
+
+def may_cut(buf: np.ndarray) -> np.ndarray:
+    """Where the split pattern of byte-level BPE vocabularies always begins a piece, whatever stands around.
+
+    At ASCII white space right behind a visible ASCII character or a Latin-1 letter: no piece
+    goes on from such a character into white space, and no look-ahead reaches over it.
+    And between ASCII letters, digits and other signs, save at an apostrophe, which may begin an ending.
+    """
+    out = np.zeros(len(buf), bool)
+    if len(buf) > 1:
+        kind = _KIND[buf]
+        visible = (kind > 0) | (buf == 0x27)
+        visible[1:] |= (buf[1:] >= 0x80) & (buf[:-1] == 0xC3)
+        blank = (buf == 32) | ((buf >= 9) & (buf <= 13))
+        out[1:] = (blank[1:] & visible[:-1]) | ((kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0))
+    return out
+
+
+def units(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and rows of the units that texts can be encoded by, one after the other."""
+    begins = np.append(may_cut(buf), False)
+    begins[off] = True
+    start = np.flatnonzero(begins[:len(buf)])
+    return start, np.searchsorted(off, start, side="right") - 1
+
+
+def sections(buf: np.ndarray, lo: int, hi: int, most: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
+    """The text at ``lo`` to ``hi`` in parts of about ``most`` bytes, cut where :func:`may_cut` allows it."""
+    while hi - lo > most:
+        at, end = lo + most, None
+        while end is None and at < hi:
+            stop = min(hi, at + most)
+            found = np.flatnonzero(may_cut(buf[at - 2:stop])[2:])
+            end, at = (at + int(found[0]) if len(found) else None), stop
+        if end is None:
+            break
+        yield lo, end
+        lo = end
+    yield lo, hi
