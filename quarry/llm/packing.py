@@ -20,7 +20,7 @@ are read again give the same ids; read from a table, not from a shuffle whose or
 
 Texts are tokenised in the same task: they are cut where the tokenizer's pattern
 always begins a new piece (``textnum.may_cut``), and each distinct unit of a chunk is encoded once by the `tokenizers`
-library.  Long texts go through in sections of about 256 KB, so only their ids are held
+library.  Long texts go through in sections of about 1 MB, so only their ids are held
 whole (a longer stretch without blanks, signs or digits is one section).
 
 Defined cases: a null text is an empty text; an empty text has one id (the closing
@@ -48,7 +48,8 @@ from quarry.llm import textnum as tn
 
 CLOSING = 1
 POOL = 1024
-UNITS = 200_000       # distinct units whose ids a worker keeps
+UNITS = 1_000_000     # distinct units whose ids a worker keeps (about 100 MB)
+SECTION = 1 << 20
 
 
 @dataclasses.dataclass(frozen=True)
@@ -246,8 +247,31 @@ def load_tokenizer(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
+class _Grown:
+    """An array that is appended to."""
+
+    def __init__(self, kind):
+        self.n, self.held = 0, np.zeros(1 << 14, kind)
+
+    def add(self, values: np.ndarray) -> None:
+        while self.n + len(values) > len(self.held):
+            self.held = np.concatenate((self.held, np.zeros_like(self.held)))
+        self.held[self.n:self.n + len(values)] = values
+        self.n += len(values)
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.held[:self.n]
+
+
 class Units:
-    """Ids of texts by a `tokenizers` tokenizer, each distinct unit encoded once."""
+    """Ids of texts by a `tokenizers` tokenizer, each distinct unit encoded once.
+
+    Units are found by hash in two sorted tables (all, and the latest, which are merged
+    now and then); their bytes are compared, so an equal hash decides nothing.
+    """
+
+    LATEST = 1 << 15
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"    # a task has one core
@@ -256,23 +280,45 @@ class Units:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
-        self.first, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def _learn(self, units: list[bytes]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([u.decode("utf-8") for u in units], add_special_tokens=False)]
-        size = np.array([len(x) for x in found], np.int64)
-        have, total = len(self.known), int(size.sum())
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        while have + len(units) > len(self.first):
-            self.first, self.count = (np.concatenate((x, np.zeros_like(x))) for x in (self.first, self.count))
-        self.flat[self.used:self.used + total] = np.fromiter(itertools.chain.from_iterable(found), np.int32, total)
-        self.first[have:have + len(units)] = self.used + np.cumsum(size) - size
-        self.count[have:have + len(units)] = size
-        self.used += total
-        self.known.update(zip(units, range(have, have + len(units))))
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.tables = [none, none]                 # sorted hashes and numbers of units: all, and the latest
+        self.bytes, self.start, self.size = _Grown(np.uint8), _Grown(np.int64), _Grown(np.int64)
+        self.ids, self.first, self.count = _Grown(np.int32), _Grown(np.int64), _Grown(np.int64)
+
+    def _encode(self, units: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast([u.decode("utf-8") for u in units], add_special_tokens=False)]
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Numbers of the units with these hashes, -1 for new ones."""
+        out = np.full(len(h), -1)
+        for known, number in self.tables:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                hit = known[at] == h
+                out[hit] = number[at[hit]]
+        return out
+
+    def _learn(self, units: list[bytes], h: np.ndarray) -> np.ndarray:
+        """Take up units, given in the order of their hashes."""
+        found = self._encode(units)
+        count, size = (np.array([len(x) for x in xs], np.int64) for xs in (found, units))
+        number = self.first.n + np.arange(len(units))
+        self.first.add(self.ids.n + np.cumsum(count) - count)
+        self.start.add(self.bytes.n + np.cumsum(size) - size)
+        self.ids.add(np.fromiter(itertools.chain.from_iterable(found), np.int32, int(count.sum())))
+        self.bytes.add(np.frombuffer(b"".join(units), np.uint8))
+        self.count.add(count)
+        self.size.add(size)
+        self.tables[1] = self._merged(self.tables[1], (h, number))
+        if len(self.tables[1][0]) > self.LATEST:
+            self.tables = [self._merged(*self.tables), (h[:0], number[:0])]
+        return number
+
+    @staticmethod
+    def _merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        h = np.concatenate((a[0], b[0]))
+        order = np.argsort(h, kind="stable")
+        return h[order], np.concatenate((a[1], b[1]))[order]
 
     def encode(self, buf: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
         """Ids of all texts of a section, which have ``off[-1]`` bytes together."""
@@ -280,24 +326,38 @@ class Units:
         start, row = tn.units(buf, off)
         if not len(start):
             return [np.zeros(0, np.int32)] * rows
-        end = np.append(start[1:], len(buf))
-        _, sample, code = np.unique(tn.Hasher(buf)(start, end), return_index=True, return_inverse=True)
-        like, size = sample[code], end - start
-        if not ((size == size[like]).all() and (buf == buf[tn.ragged(start[like], size)]).all()):
-            sample = code = np.arange(len(start))      # two units with one hash: every unit for itself
-        data = buf.tobytes()
-        units = [data[a:b] for a, b in zip(start[sample].tolist(), end[sample].tolist())]
-        if len(self.known) > UNITS:
+        if self.first.n > UNITS:
             self._forget()
-        fresh = list(dict.fromkeys(u for u in units if u not in self.known))
-        if fresh:
-            self._learn(fresh)
-        at = np.array([self.known[u] for u in units], np.int64)[code]
-        size = self.count[at]
-        ids = self.flat[tn.ragged(self.first[at], size)]
-        per_row = np.bincount(row, weights=size, minlength=rows).astype(np.int64)
+        end = np.append(start[1:], len(buf))
+        h, sample, code = np.unique(tn.Hasher(buf)(start, end), return_index=True, return_inverse=True)
+        at = self._find(h)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            data = buf.tobytes()
+            at[new] = self._learn([data[a:b] for a, b in zip(start[sample[new]].tolist(), end[sample[new]].tolist())], h[new])
+        unit, size = at[code], end - start
+        first, count = self.first.all[unit], self.count.all[unit]
+        other = self._unlike(buf, start, size, unit)
+        ids = self.ids.all[tn.ragged(first, count)]
+        if len(other):                             # units with the hash of another one
+            parts = np.split(ids, np.cumsum(count)[:-1])
+            for k in other:
+                parts[k] = np.array(self._encode([buf[start[k]:end[k]].tobytes()])[0], np.int32)
+                count[k] = len(parts[k])
+            ids = np.concatenate(parts)
+        per_row = np.bincount(row, weights=count, minlength=rows).astype(np.int64)
         return np.split(ids, np.cumsum(per_row)[:-1])
 
+    def _unlike(self, buf: np.ndarray, start: np.ndarray, size: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        """Where the bytes are not those of the unit found."""
+        fits = self.size.all[unit] == size
+        length = np.where(fits, size, 0)
+        same = buf[tn.ragged(start, length)] == self.bytes.all[tn.ragged(self.start.all[unit], length)]
+        if fits.all() and same.all():
+            return np.zeros(0, np.int64)
+        wrong = np.bincount(np.repeat(np.arange(len(size)), length)[~same], minlength=len(size)) > 0
+        return np.flatnonzero(wrong | ~fits)
+
 
 _units: dict[int, Units] = {}
 
@@ -315,9 +375,9 @@ def text_ids(column: pa.Array, units: Units, closing: int | None = CLOSING) -> I
     """Ids of every text of a column, one after the other, each with the closing id."""
     end = np.array([] if closing is None else [closing], np.int32)
     buf, off = tn.text_buffers(column)
-    for lo, hi in tn.pieces(off):
+    for lo, hi in tn.pieces(off, SECTION):
         if hi - lo == 1:
-            held = [units.encode(buf[a:b], np.array([0, b - a]))[0] for a, b in tn.sections(buf, off[lo], off[hi])]
+            held = [units.encode(buf[a:b], np.array([0, b - a]))[0] for a, b in tn.sections(buf, int(off[lo]), int(off[hi]), SECTION)]
             yield np.concatenate([*held, end])
         else:
             for ids in units.encode(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]):

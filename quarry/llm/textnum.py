@@ -105,6 +105,30 @@ def word_spans(buf: np.ndarray, off: np.ndarray, keep: np.ndarray) -> tuple[np.n
     return start, end, row
 
 
+def runs(buf: np.ndarray, keep: np.ndarray, most: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
+    """Parts of the buffer of about ``most`` bytes that cut no run of kept bytes, so temporaries stay small for long texts."""
+    lo, n = 0, len(buf)
+    while n - lo > 2 * most:
+        at, end = lo + most, None
+        while end is None and at < n:
+            free = np.flatnonzero(~keep[buf[at:at + most]])
+            end, at = (at + int(free[0]) if len(free) else None), at + most
+        if end is None:
+            break
+        yield lo, end
+        lo = end
+    yield lo, n
+
+
+def word_hashes(buf: np.ndarray, off: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and row of every maximal run of kept bytes, part by part."""
+    out = []
+    for lo, hi in runs(buf, keep):
+        start, end, row = word_spans(buf[lo:hi], np.clip(off, lo, hi) - lo, keep)
+        out.append((Hasher(buf[lo:hi])(start, end) if len(start) else np.zeros(0, np.uint64), row))
+    return np.concatenate([h for h, _ in out]), np.concatenate([r for _, r in out])
+
+
 def ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Indices start[i] .. start[i]+length[i]-1 for all i, one after the other."""
     total = int(length.sum())

@@ -236,6 +236,22 @@ def test_long_texts_go_through_in_sections(tokenizer):
     assert list(tn.sections(np.zeros(10**6, np.uint8) + 97, 0, 10**6)) == [(0, 10**6)]
 
 
+def test_units_with_one_hash_are_told_apart(tokenizer, monkeypatch):
+    class Weak(tn.Hasher):
+        def __call__(self, start, end):
+            return super().__call__(start, end) % np.uint64(7)
+
+    texts = pa.array(["the cat, the dog 12 and more words", "other words again; cats", None, "x"])
+    want = [x.tolist() for x in packing.text_ids(texts, packing.Units(tokenizer.value))]
+    monkeypatch.setattr(tn, "Hasher", Weak)
+    units = packing.Units(tokenizer.value)
+    assert [x.tolist() for x in packing.text_ids(texts, units)] == want
+    monkeypatch.setattr(packing, "UNITS", 3)
+    monkeypatch.setattr(packing.Units, "LATEST", 2)
+    for _ in range(2):
+        assert [x.tolist() for x in packing.text_ids(texts, units)] == want
+
+
 def _plain_packing(examples, limits):
     """Whole examples by the dot-product rule with plain loops."""
     left, out = list(examples), []
