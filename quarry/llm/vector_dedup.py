@@ -10,17 +10,20 @@ Equal vectors of a label are one class.  Buckets are cut into blocks of
 BLOCK_ROWS rows and compared block by block as matrices; a task emits, for every
 row with a link, its number of links and one edge to the smallest id it hangs
 together with in that block pair, never the pairs.  A pair is counted in the first table in which it
-shares a bucket, so in no other.
+shares a bucket, so in no other; of buckets with the same members in several tables only the first is
+compared, so a clump that meets in every table ships its vectors once.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components, and rows without a label or id, are linked with nothing; vectors of different
-lengths are never compared; rows equal in id, label and vector are one vector
+lengths are never compared; vectors are divided by their largest component first, so finite ones of any
+size have a cosine; rows equal in id, label and vector are one vector
 (each row gets its result), rows equal in id alone are vectors of their own that share a component;
 other columns are ignored, whatever their names; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm import textnum as tn
-from quarry.llm.common import bounded_batches, written
+from quarry.llm.common import written
 from quarry.llm.components import connected_components
 
 HASHES = 16
@@ -39,16 +42,17 @@ STEP = 2.0
 BLOCK_ROWS = 512
 
 
+@functools.cache
 def _projections(size: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng([3, size])
     return rng.normal(size=(size, TABLES * HASHES)), rng.uniform(0, STEP, TABLES * HASHES)
 
 
-def bucket_keys(unit: np.ndarray) -> np.ndarray:
-    """Keys (rows, TABLES) of normalised vectors."""
-    a, b = _projections(unit.shape[1])
-    cell = np.floor((unit @ a + b) / STEP).astype(np.int64).reshape(len(unit), TABLES, HASHES)
-    key = np.broadcast_to(np.arange(TABLES, dtype=np.uint64), (len(unit), TABLES))
+def bucket_keys(unit: np.ndarray, tables: int = TABLES) -> np.ndarray:
+    """Keys (rows, tables) of normalised vectors in the first ``tables`` tables."""
+    a, b = (x[..., :tables * HASHES] for x in _projections(unit.shape[1]))
+    cell = np.floor((unit @ a + b) / STEP).astype(np.int64).reshape(len(unit), tables, HASHES)
+    key = np.broadcast_to(np.arange(tables, dtype=np.uint64), (len(unit), tables))
     for k in range(HASHES):
         key = tn.finish(key ^ (cell[:, :, k].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k)))
     return tn.signed(np.ascontiguousarray(key))
@@ -57,6 +61,7 @@ def bucket_keys(unit: np.ndarray) -> np.ndarray:
 def _matrix(column: pa.Array) -> np.ndarray:
     """Vectors of one length as normalised rows."""
     x = np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(column), -1)
+    x = x / np.abs(x).max(axis=1, keepdims=True)   # squares of very large or small components would not be finite, or 0
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
@@ -92,7 +97,7 @@ def _compare(group: dict[str, np.ndarray], least: float) -> tuple[np.ndarray, np
     x, y = left[x], right[y]
     if table:
         used, back = np.unique(np.concatenate((x, y)), return_inverse=True)
-        keys = bucket_keys(unit[used])[:, :table]
+        keys = bucket_keys(unit[used], table)
         bx, by = back[:len(x)], back[len(x):]
         new = np.concatenate([~(keys[bx[k:k + 4096]] == keys[by[k:k + 4096]]).any(axis=1) for k in range(0, len(x), 4096)])
         x, y = x[new], y[new]
@@ -175,7 +180,11 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
               .join(classes.select("class", "lab", F.size("vec").alias("dim")), "class"))
     member = written(member, "vec-keys")
     bucket = ["lab", "dim", "tab", "key"]
-    shared = member.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Buckets of several tables with the same members: only the first is compared, where all their pairs count.
+    sets = member.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("class")).alias("s1"),
+                                       F.bit_xor(F.xxhash64(F.lit(7), "class")).alias("s2")).where("n > 1")
+    shared = (sets.groupBy("lab", "dim", "n", "s1", "s2").agg(F.min(F.struct("tab", "key")).alias("b"))
+              .select("lab", "dim", "b.tab", "b.key", "n"))
     blocks = F.ceil(F.col("n") / block_rows).cast("int")
     placed = (member.join(shared, bucket).withColumn("nb", blocks)
               .withColumn("blk", F.pmod(F.xxhash64("class"), F.col("nb")).cast("int")))
@@ -185,7 +194,7 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
             .join(classes.select("class", "rep", "copies", "vec"), "class")
             .withColumn("gid", F.xxhash64(*bucket, "i", "j")))
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    work = bounded_batches(work).select("class", "rep", "copies", "tab", "blk", "i", "j", "gid", "vec").repartition(n_parts, "gid") \
+    work = work.select("class", "rep", "copies", "tab", "blk", "i", "j", "gid", "vec").repartition(n_parts, "gid") \
         .sortWithinPartitions("gid", "tab", "i", "j", "class")
     out_schema = T.StructType([T.StructField(c, T.LongType()) for c in ("class", "links", "root")])
     found = written(work.mapInArrow(_links_of(least), out_schema), "vec-links")
