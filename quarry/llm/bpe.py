@@ -6,7 +6,9 @@ per length bucket.  In every round each row merges its leftmost pair of minimum
 rank; pairs are looked up in an open-addressing hash table held in numpy arrays,
 and rows without a mergeable pair leave the matrix (compaction).  Pieces longer
 than ``LONGEST_ROW`` bytes take the same merges with a heap, as a matrix would
-need as many rounds as the piece has bytes.
+need as many rounds as the piece has bytes.  Texts go through in parts of about
+256 KB, cut where a piece always begins (``textnum.may_cut``); a longer stretch
+without blanks, signs or digits is one part.
 
 The vocabulary (a rank file) is read once by the driver and broadcast; its size
 is bounded by the file, whatever the data.
@@ -19,6 +21,7 @@ gives an empty table.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import unicodedata
 from collections.abc import Iterator
@@ -26,11 +29,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm import textnum as tn
-from quarry.llm.common import bounded_batches
 
 LONGEST_ROW = 256
 ROWS_AT_ONCE = 1 << 14
@@ -100,6 +101,20 @@ class PairTable:
         return out
 
 
+class _Bytes:
+    """Byte strings by number, in one buffer."""
+
+    def __init__(self, strings: list[bytes]):
+        self.size = np.array([len(t) for t in strings], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(strings), np.uint8)
+
+    def of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of the ids, and the number of bytes of each id."""
+        size = self.size[ids]
+        return self.data[tn.ragged(self.start[ids], size)], size
+
+
 class Codec:
     """Encoder and decoder for one vocabulary."""
 
@@ -117,9 +132,7 @@ class Codec:
                     merged.append(i)
         keys = (np.array(left, np.uint64) << np.uint64(32)) | np.array(right, np.uint64)
         self.pairs = PairTable(keys, np.array(merged, np.int32))
-        self.token_len = np.array([len(t) for t in tokens], np.int64)
-        self.token_start = np.cumsum(self.token_len) - self.token_len
-        self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.decode = _Bytes(tokens).of
         self.kinds = _classes()
         self._reset()
 
@@ -294,11 +307,6 @@ class Codec:
         per_row = np.bincount(row, weights=size, minlength=rows).astype(np.int64)
         return ids, per_row
 
-    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes of the ids, and the number of bytes of each id."""
-        size = self.token_len[ids]
-        return self.token_bytes[tn.ragged(self.token_start[ids], size)], size
-
 
 _codecs: dict[int, Codec] = {}
 
@@ -313,27 +321,48 @@ def _codec(shared) -> Codec:
     return _codecs[key]
 
 
+def _decoder(shared) -> _Bytes:
+    """Bytes of all ids: what decoding needs, without the encoder's tables."""
+    return _Bytes(shared.value)
+
+
 def load_vocabulary(spark: SparkSession, path: str):
     """Broadcast the tokens of the rank file at ``path`` (read by the driver)."""
     with open(path, "rb") as f:
         return spark.sparkContext.broadcast(read_ranks(f.read()))
 
 
+def _encoded(codec: Codec, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, ids, ids per row) of some rows at a time; a long text comes in parts, all but the last with no row."""
+    buf, off = tn.text_buffers(column)
+    for lo, hi in tn.pieces(off):
+        if hi - lo > 1:
+            yield lo, *codec.encode(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
+            continue
+        parts = list(tn.sections(buf, int(off[lo]), int(off[hi])))
+        for a, b in parts:
+            ids, n = codec.encode(buf[a:b], np.array([0, b - a]))
+            yield lo, ids, n if b == parts[-1][1] else n[:0]
+
+
 def encode(df: DataFrame, vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids array<int>) for every row; a null text has no ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(vocabulary)
         for batch in batches:
-            buf, off = tn.text_buffers(batch.column(1))
-            for lo, hi in tn.pieces(off):
-                ids, per_row = codec.encode(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
-                offsets = np.concatenate(([0], np.cumsum(per_row))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))],
-                    names=[id_col, "ids"])
+            held: list[np.ndarray] = []
+            for lo, ids, per_row in _encoded(codec, batch.column(1)):
+                held.append(ids)
+                if len(per_row):
+                    own = np.concatenate(held) if len(held) > 1 else ids
+                    ends = np.concatenate(([0], np.cumsum(per_row))) if len(per_row) > 1 else np.array([0, len(own)])
+                    held = []
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(lo, len(per_row)),
+                         pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(own))], names=[id_col, "ids"])
 
     schema = T.StructType([df.schema[id_col], T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return bounded_batches(df).select(id_col, text_col).mapInArrow(run, schema)
+    return df.select(id_col, text_col).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, vocabulary, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
@@ -341,7 +370,7 @@ def decode(df: DataFrame, vocabulary, ids_col: str = "ids", to: str = "decoded")
     kept = [c for c in df.columns if c != to]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(vocabulary)
+        tokens = _decoder(vocabulary)
         for batch in batches:
             column = batch.column(kept.index(ids_col)).cast(pa.large_list(pa.int32()))
             first = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
@@ -349,7 +378,7 @@ def decode(df: DataFrame, vocabulary, ids_col: str = "ids", to: str = "decoded")
             while lo < len(column):
                 hi = max(lo + 1, int(np.searchsorted(first, first[lo] + (1 << 19), side="right")) - 1)
                 ids = column.values.to_numpy(zero_copy_only=False)[first[lo]:first[hi]]
-                data, size = codec.decode(ids)
+                data, size = tokens.of(ids)
                 ends = np.concatenate(([0], np.cumsum(size)))[first[lo:hi + 1] - first[lo]]
                 out = pa.Array.from_buffers(pa.large_binary(), hi - lo,
                                             [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data.tobytes())])
@@ -358,13 +387,53 @@ def decode(df: DataFrame, vocabulary, ids_col: str = "ids", to: str = "decoded")
                 lo = hi
 
     schema = T.StructType([*[df.schema[c] for c in kept], T.StructField(to, T.BinaryType())])
-    return bounded_batches(df).select(*kept).mapInArrow(run, schema)
+    return df.select(*kept).mapInArrow(run, schema)
+
+
+class _Digests:
+    """SHA-256 of the decimal ids and of the decoded bytes of one text, part by part."""
+
+    def __init__(self):
+        self.n, self.ids, self.decoded = 0, hashlib.sha256(), hashlib.sha256()
+
+    def add(self, n: int, numbers: bytes, decoded: bytes) -> None:
+        if n:
+            if self.n:
+                self.ids.update(b" ")
+            self.ids.update(numbers[:-1])          # each number has a blank behind it
+            self.decoded.update(decoded)
+            self.n += n
+
+    def row(self) -> tuple[int, str, str]:
+        return self.n, self.ids.hexdigest(), self.decoded.hexdigest()
 
 
 def token_digests(df: DataFrame, vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode every text, decode the ids again and give digests of both."""
-    both = decode(encode(df, vocabulary, id_col, text_col), vocabulary)
-    return both.select(
-        F.col(id_col), F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+    """Encode every text, decode the ids again and give digests of both.
+
+    One task does it all, so there is one codec a core, and a long text needs no more memory than a part of it.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(vocabulary)
+        numbers = _Bytes([b"%d " % i for i in range(len(codec.tokens))])
+        for batch in batches:
+            rows, held = [], _Digests()
+            for _, ids, per_row in _encoded(codec, batch.column(1)):
+                (named, sizes), (data, lengths) = numbers.of(ids), codec.decode(ids)
+                cut = np.concatenate(([0], np.cumsum(per_row))) if len(per_row) else np.array([0, len(ids)])
+                at_name, at_data = (np.concatenate(([0], np.cumsum(x)))[cut].tolist() for x in (sizes, lengths))
+                named, data, cut = named.tobytes(), data.tobytes(), cut.tolist()
+                for k in range(max(1, len(per_row))):
+                    held.add(cut[k + 1] - cut[k], named[at_name[k]:at_name[k + 1]], data[at_data[k]:at_data[k + 1]])
+                    if len(per_row):
+                        rows.append(held.row())
+                        held = _Digests()
+            if rows:
+                n, ids, decoded = zip(*rows)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded)],
+                                                 names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    text = T.StringType()
+    schema = T.StructType([df.schema[id_col], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", text),
+                           T.StructField("decoded_sha256", text)])
+    return df.select(id_col, text_col).mapInArrow(run, schema)
