@@ -49,17 +49,3 @@ def small_enough(df: DataFrame, rows: int, per_row: Column | None = None) -> Dat
     """
     n = df.count() if per_row is None else df.agg(F.coalesce(F.sum(per_row), F.lit(0))).first()[0]
     return F.broadcast(df) if n <= rows else df
-
-
-BATCH_ROWS = 512
-
-
-def bounded_batches(df: DataFrame) -> DataFrame:
-    """``df``, after limiting the rows of an Arrow batch in its session unless the user has set a limit.
-
-    Texts are long: the default of 10,000 rows a batch would be tens of megabytes in each of several buffers.
-    """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if df.sparkSession.conf.get(key) == "10000":
-        df.sparkSession.conf.set(key, str(BATCH_ROWS))
-    return df

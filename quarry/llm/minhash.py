@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm import textnum as tn
-from quarry.llm.common import bounded_batches, small_enough, written
+from quarry.llm.common import drop_written, small_enough, written
 from quarry.llm.components import connected_components
 
 PERMUTATIONS = 48
@@ -49,11 +49,10 @@ _WORD_BYTES = tn.byte_table(lambda b: not (b == 32 or 9 <= b <= 13))
 def shingle_sets(buf: np.ndarray, off: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and hash of the distinct word shingles of every text, sorted by both."""
     low = tn.LOWER[buf]
-    start, end, row = tn.word_spans(low, off, _WORD_BYTES)
-    if not len(start):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = tn.Hasher(low)(start, end)
+    h, row = tn.word_hashes(low, off, _WORD_BYTES)
     n = len(h)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     count = np.bincount(row, minlength=len(off) - 1)
     rows, sets = [], []
     if n >= words:
@@ -115,7 +114,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataF
     long = T.LongType()
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_shingles", long),
                            T.StructField("d1", long), T.StructField("d2", long), T.StructField("bands", T.ArrayType(long))])
-    return bounded_batches(docs.select(id_col, text_col)).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
 def _full_sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -133,7 +132,7 @@ def _full_sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataF
 
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType),
                            T.StructField("shingles", T.ArrayType(T.LongType()))])
-    return bounded_batches(docs.select(id_col, text_col)).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
 def _intersections(at: np.ndarray, code: np.ndarray, n: int) -> np.ndarray:
@@ -224,7 +223,7 @@ def _block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             .select("rep", "part", "blk", "p.i", "p.j", F.xxhash64("band", "key", "p.i", "p.j").alias("gid"))
             .join(sets, F.col("rep") == F.col("id")).drop("id"))
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    work = bounded_batches(work).repartition(n, "gid").sortWithinPartitions("gid")
+    work = work.repartition(n, "gid").sortWithinPartitions("gid")
     return written(work.mapInArrow(_links_in_blocks(percent), "a long, b long"), "minhash-links")
 
 
@@ -243,18 +242,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = classes.groupBy("rep").agg(F.max("n").alias("most"), F.min("n").alias("least"))
 
     def full_sets(ids: DataFrame) -> DataFrame:
-        ids = small_enough(written(ids, "minhash-ids"), BROADCAST_IDS)
+        ids = written(ids, "minhash-ids")
         chosen = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_t")).join(
-            ids, F.col("_id") == F.col("_e"), "left_semi")
-        return written(_full_sets(chosen, "_id", "_t", words).where(F.size("shingles") > 0), "minhash-sets")
+            small_enough(ids, BROADCAST_IDS), F.col("_id") == F.col("_e"), "left_semi")
+        out = written(_full_sets(chosen, "_id", "_t", words).where(F.size("shingles") > 0), "minhash-sets")
+        drop_written(ids)
+        return out
 
     def verified(pairs: DataFrame) -> DataFrame:
         sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("_e")).distinct())
         one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
         two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
         both = F.size(F.array_intersect("sa", "sb"))
-        return written(pairs.join(one, "a").join(two, "b").where(
+        out = written(pairs.join(one, "a").join(two, "b").where(
             100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct(), "minhash-links")
+        drop_written(sets)
+        return out
 
     def comparable(pairs: DataFrame) -> DataFrame:
         """Pairs whose set sizes allow the similarity."""
@@ -277,9 +280,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min("part").alias("p"), F.max("part").alias("q"), F.count(F.lit(1)).alias("m")).where("p < q")
     open_ = written(labelled.join(mixed.select("band", "key", "m"), ["band", "key"]), "minhash-open")
     if not open_.isEmpty():
-        more = _block_links(open_, full_sets(open_.select(F.col("rep").alias("_e")).distinct()), percent)
+        sets = full_sets(open_.select(F.col("rep").alias("_e")).distinct())
+        more = _block_links(open_, sets, percent)
+        drop_written(sets)
         if not more.isEmpty():
             parts = connected_components(links.union(renamed).union(more))
+        drop_written(more)
+    for gone in (shared, stars, links, open_):     # written and read for the last time
+        drop_written(gone)
 
     moved = (classes.join(parts.withColumnRenamed("id", "rep"), "rep", "left")
              .select("d1", "d2", F.coalesce("component", "rep").alias("component_id"), F.col("_last").alias("_l")).where("component_id <> _l").drop("_l"))

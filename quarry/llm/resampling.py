@@ -11,7 +11,8 @@ by counting keys in ever finer bins, so no task sees all keys.
 
 Defined cases: null or empty texts have no n-grams and weight 0; without target
 documents all weights are 0; null labels aren't used; rows tied with the k-th key are all
-taken; repeated rows are scored each; other columns are ignored, whatever their
+taken; repeated rows are scored each; rows without an id share one draw of noise, so
+among them the weight alone decides; other columns are ignored, whatever their
 names; an empty table gives an empty table.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm import textnum as tn
-from quarry.llm.common import bounded_batches, written
+from quarry.llm.common import written
 
 SLOTS = 10_000
 BINS = 4096
@@ -38,12 +39,14 @@ _MARK = tn.byte_table(lambda b: 32 < b < 127 and not chr(b).isalnum())
 
 def ngrams(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Slot and row of every n-gram of the texts."""
-    h = tn.Hasher(buf)
-    spans = [tn.word_spans(buf, off, keep) for keep in (_WORD, _MARK)]
-    start, end, row = (np.concatenate([s[k] for s in spans]) for k in range(3))
-    order = np.argsort(start, kind="stable")
-    start, end, row = start[order], end[order], row[order]
-    one = h(start, end)
+    ones, rows = [], []
+    for lo, hi in tn.runs(buf, _WORD | _MARK):
+        spans = [tn.word_spans(buf[lo:hi], np.clip(off, lo, hi) - lo, keep) for keep in (_WORD, _MARK)]
+        start, end, row = (np.concatenate([s[k] for s in spans]) for k in range(3))
+        order = np.argsort(start, kind="stable")
+        ones.append(tn.Hasher(buf[lo:hi])(start[order], end[order]) if len(order) else np.zeros(0, np.uint64))
+        rows.append(row[order])
+    one, row = np.concatenate(ones), np.concatenate(rows)
     two = tn.finish(one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:])[row[1:] == row[:-1]]
     slot = np.concatenate((one, two)) % np.uint64(SLOTS)
     return slot.astype(np.int64), np.concatenate((row, row[1:][row[1:] == row[:-1]]))
@@ -70,7 +73,7 @@ def count_ngrams(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", tex
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[0, at]), pa.array(total[1, at])],
                                          names=["slot", "raw", "target"])
 
-    sums = bounded_batches(given).mapInArrow(run, "slot long, raw long, target long").groupBy("slot").agg(F.sum("raw"), F.sum("target"))
+    sums = given.mapInArrow(run, "slot long, raw long, target long").groupBy("slot").agg(F.sum("raw"), F.sum("target"))
     out = np.zeros((2, SLOTS), np.int64)
     for slot, raw, good in sums.collect():         # SLOTS rows at most
         out[:, slot] = raw, good
@@ -102,7 +105,7 @@ def weigh(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col:
     given = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     schema = T.StructType([given.schema["_id"], T.StructField("n_ngrams", T.LongType()),
                            T.StructField("log_weight", T.DoubleType())])
-    return bounded_batches(given).mapInArrow(run, schema)
+    return given.mapInArrow(run, schema)
 
 
 def kth_largest(df: DataFrame, column: str, k: int) -> float | None:
