@@ -2,9 +2,8 @@
 
 The user-item bipartite graph is an edge table in both directions with node
 ids tagged ``u:<id>`` / ``i:<id>``; the normalised adjacency
-A_hat = D^-1/2 A D^-1/2 is a weight column computed once; embeddings are long
-form ``(node, f, val)`` and one layer is ``E' = A_hat E``: a join on the edge
-source plus a grouped sum by (destination, factor).
+A_hat = D^-1/2 A D^-1/2 is a weight column computed once; one layer is ``E' = A_hat E``:
+a join on the edge source plus a grouped sum of arrays by destination.
 """
 
 from __future__ import annotations
@@ -44,18 +43,20 @@ def seeded_embeddings(nodes: DataFrame, dim: int, scale: float = 0.2, seed: int
 
 
 def propagate(norm_edges: DataFrame, emb0: DataFrame, layers: int = 3) -> DataFrame:
-    """Mean of E^0..E^L with E^(l+1) = A_hat E^l; returns (node, f, val)."""
-    norm_edges, emb0 = write_table(norm_edges, "gcn-edges"), write_table(emb0, "gcn-layer")
-    cur = emb0
-    total = emb0.select("node", "f", F.col("val").alias("_s"))
-    for _ in range(layers):
-        nxt = (norm_edges.join(cur.select(F.col("node").alias("src"), "f", "val"), "src")
-               .groupBy(F.col("dst").alias("node"), "f").agg(F.sum(F.col("w") * F.col("val")).alias("val")))
-        nxt = write_table(nxt, "gcn-layer")
-        total = (total.join(nxt, ["node", "f"], "left")
-                 .select("node", "f", (F.col("_s") + F.coalesce("val", F.lit(0.0))).alias("_s")))
-        cur = nxt
-    return total.select("node", "f", (F.col("_s") / F.lit(float(layers + 1))).alias("val"))
+    """Mean of E^0..E^L with E^(l+1) = A_hat E^l; takes and returns (node, f, val).
+
+    Inside, a node's factors are one array, so an edge is shuffled once a layer and not once a factor.
+    """
+    norm_edges = write_table(norm_edges, "gcn-edges")
+    held = emb0.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "val"))).alias("e"))
+    held = write_table(held.select("node", F.col("e.f").alias("f"), F.col("e.val").alias("val")), "gcn-first")
+    dim = held.agg(F.coalesce(F.max(F.size("val")), F.lit(0))).first()[0]
+    if not dim:
+        return emb0.select("node", "f", "val")
+    every = layers_of(norm_edges, held, dim, layers)
+    total = F.array(*[sum((F.col(f"l{k}")[f] for k in range(1, layers + 1)), F.col("l0")[f]) / float(layers + 1) for f in range(dim)])
+    return (every.join(held.select("node", "f"), "node").select("node", F.explode(F.arrays_zip("f", total.alias("val"))).alias("e"))
+            .select("node", "e.f", "e.val"))
 
 
 def layers_of(norm_edges: DataFrame, first: DataFrame, dim: int, layers: int) -> DataFrame:
