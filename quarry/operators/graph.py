@@ -71,6 +71,86 @@ def l1_change(new: DataFrame, old: DataFrame, cols: list[str], keys: list[str])
     return 0.0 if v is None else float(v)
 
 
+HUB = 1_000_000        # links of one vertex beyond which they aren't kept in its bucket
+
+
+class Links:
+    """Links written once for joins on ``by``: in buckets of it, those of hubs spread over files of their own.
+
+    A hub's links would all lie in one bucket, which a task reads whole; they are joined with the
+    hubs' rows by a broadcast of at most n / HUB rows (HUB grows with the links, so at most 100,000).
+    """
+
+    def __init__(self, links: DataFrame, by: str, keys: list[str]):
+        self.on, self.hubs = keys + [by], None
+        counts = links.groupBy(*self.on).agg(F.count(F.lit(1)).alias("_n"))
+        limit = max(HUB, (counts.agg(F.sum("_n")).first()[0] or 0) // 100_000)
+        hubs = write_table(counts.where(F.col("_n") > limit).select(*self.on), "hubs")
+        if hubs.isEmpty():
+            self.light = write_bucketed(links, "links", by)
+            return
+        self.hubs = hubs
+        self.heavy = write_table(links.join(F.broadcast(hubs), self.on, "left_semi"), "hub-links")
+        self.light = write_bucketed(links.join(F.broadcast(hubs), self.on, "left_anti"), "links", by)
+
+    def join(self, state: DataFrame) -> DataFrame:
+        """Links with the columns of ``state`` for their end."""
+        rows = self.light.join(state, self.on)
+        if self.hubs is None:
+            return rows
+        few = state.join(F.broadcast(self.hubs), self.on, "left_semi")
+        return rows.unionByName(self.heavy.join(F.broadcast(few), self.on))
+
+
+def pageranks(vertices: DataFrame, edges: DataFrame, settings: dict[str, tuple[float, DataFrame | None]], max_iter: int = 100,
+              tol: float | None = 1e-6, check_every: int = 3) -> DataFrame:
+    """PageRank for several dampings and teleport vectors in one loop: (id, one column a setting).
+
+    ``settings``: name -> (d, teleport (id, v) or None for the uniform one).  A round scans the links once,
+    whatever the number of vectors; dangling mass is spread evenly.  Stops when no vector changes by ``tol`` or more.
+    """
+    names = list(settings)
+    nodes = node_table(vertices, edges)
+    bases = []
+    for k, (d, teleport) in enumerate(settings.values()):
+        if teleport is None:
+            bases.append(F.lit(1 - d) / F.col("n"))
+        else:
+            nodes = nodes.join(teleport.select("id", F.col("v").alias(f"_t{k}")), "id", "left")
+            bases.append((1 - d) * F.coalesce(F.col(f"_t{k}"), F.lit(0.0)))
+    nodes = write_table(nodes.select("id", "n", "is_dangling", F.array(*bases).alias("_base")), "nodes")
+    sink = nodes.where("is_dangling").select(F.col("id").alias("src"), F.lit(None).cast(nodes.schema["id"].dataType).alias("dst"),
+                                             F.lit(1.0).alias("w"))
+    links = Links(weighted_edges(edges).unionByName(sink), "src", [])
+
+    def ranks(sums: DataFrame | None) -> DataFrame:
+        if sums is None:
+            return nodes.select("id", F.array(*[F.lit(1.0) / F.col("n")] * len(names)).alias("pr"))
+        new = nodes.join(sums.where("dst IS NOT NULL").withColumnRenamed("dst", "id"), "id", "left")
+        lost = sums.where("dst IS NULL").agg(F.max("_c").alias("_dm"))
+        new = new.crossJoin(F.broadcast(lost))     # one row
+        zero = F.lit(0.0)
+        return new.select("id", F.array(*[
+            F.col("_base")[k] + F.lit(d) * F.coalesce(F.col("_c")[k], zero) + F.lit(d) * F.coalesce(F.col("_dm")[k], zero) / F.col("n")
+            for k, (d, _) in enumerate(settings.values())]).alias("pr"))
+
+    sums = None
+    for r in range(1, max_iter + 1):
+        new = write_table(links.join(ranks(sums).withColumnRenamed("id", "src")).groupBy("dst").agg(
+            F.array(*[F.sum(F.col("pr")[k] * F.col("w")) for k in range(len(names))]).alias("_c")), "sums")
+        old, sums = sums, new
+        settled = False
+        if tol and old is not None and r % check_every == 0:
+            both = ranks(new).join(ranks(old).select("id", F.col("pr").alias("_o")), "id")
+            change = both.agg(*[F.sum(F.abs(F.col("pr")[k] - F.col("_o")[k])).alias(f"c{k}") for k in range(len(names))]).first()
+            settled = max((c or 0.0) for c in change) < tol
+        if old is not None:
+            drop_table(old)
+        if settled:
+            break
+    return ranks(sums).select("id", *[F.col("pr")[k].alias(name) for k, name in enumerate(names)])
+
+
 def pagerank(vertices: DataFrame, edges: DataFrame, d: float = 0.85, max_iter: int = 100,
              tol: float | None = 1e-6, teleport: DataFrame | None = None, dangling: str = "uniform",
              graph_col: str | None = None, check_every: int = 3, parallel: str | None = None,
@@ -102,7 +182,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, d: float = 0.85, max_iter: i
     sink = nodes.where("is_dangling").select(*keys, F.col("id").alias("src"), F.lit(None).cast(
         nodes.schema["id"].dataType).alias("dst"), F.lit(1.0).alias("w"))
     links = weighted_edges(edges, graph_col, parallel)
-    links = write_bucketed(links if dangling == "leak" else links.unionByName(sink), "links", "src")
+    links = Links(links if dangling == "leak" else links.unionByName(sink), "src", keys)
 
     def ranks(sums: DataFrame | None) -> DataFrame:
         if sums is None:
@@ -118,7 +198,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, d: float = 0.85, max_iter: i
     log, sums = LoopLog(), None
     for r in range(1, max_iter + 1):
         state = ranks(sums).withColumnRenamed("id", "src")
-        new = write_table(links.join(state, keys + ["src"]).groupBy(*keys, "dst").agg(
+        new = write_table(links.join(state).groupBy(*keys, "dst").agg(
             F.sum(F.col("pr") * F.col("w")).alias("_c")), "sums")
         log.rounds = r
         if tol and r % check_every == 0:
@@ -192,7 +272,7 @@ def hits(vertices: DataFrame, edges: DataFrame, max_iter: int = 100, tol: float
     """
     keys = _keys(graph_col)
     pairs = edges.select(*keys, "src", "dst").distinct()
-    by_src, by_dst = write_bucketed(pairs, "links", "src"), write_bucketed(pairs, "links", "dst")
+    by_src, by_dst = Links(pairs, "src", keys), Links(pairs, "dst", keys)
     vs = write_table(vertices.select(*keys, "id").distinct(), "nodes")
 
     def unit(raw: DataFrame, col: str) -> DataFrame:
@@ -201,9 +281,9 @@ def hits(vertices: DataFrame, edges: DataFrame, max_iter: int = 100, tol: float
         by = F.when(F.col("_norm") != 0, F.col("_norm")).otherwise(F.lit(1.0))
         return _attach_scalar(raw, norm, keys).select(*keys, "id", (F.col(col) / by).alias(col))
 
-    def half(links: DataFrame, end: str, to: str, value: DataFrame, col: str, out: str) -> DataFrame:
+    def half(links: Links, end: str, to: str, value: DataFrame, col: str, out: str) -> DataFrame:
         """One product with the link matrix: a join and a sum, written."""
-        return write_table(links.join(value.withColumnRenamed("id", end), keys + [end]).groupBy(
+        return write_table(links.join(value.withColumnRenamed("id", end)).groupBy(
             *keys, F.col(to).alias("id")).agg(F.sum(col).alias(out)), out)
 
     def full(a: DataFrame, h: DataFrame) -> DataFrame:

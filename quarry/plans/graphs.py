@@ -116,9 +116,8 @@ FROM {l1} a JOIN {l2} b ON a.id = b.id"""
 @register("spam_mass", sql=_spam_sql)
 def q_spam_mass(spark, sf_dir):
     v, e = _g(spark, sf_dir)
-    pr = G.pagerank(v, e, D, ROUNDS, tol=None)
-    tr = G.trustrank(v, e, _trusted_ids(spark, sf_dir), D, ROUNDS, tol=None)
-    out = G.spam_mass(pr, tr)
+    both = G.pageranks(v, e, {"pr": (D, None), "tr": (D, G.trust_vector(v, _trusted_ids(spark, sf_dir)))}, ROUNDS, tol=None)
+    out = G.spam_mass(both.select("id", "pr"), both.select("id", F.col("tr").alias("pr")))
     return _round(out, "pr", "tr").withColumn("spam_mass", F.round("spam_mass", 6))
 
 
@@ -134,11 +133,9 @@ def _sweep_sql():
 @register("pagerank_sweep", sql=_sweep_sql)
 def q_pagerank_sweep(spark, sf_dir):
     v, e = _g(spark, sf_dir)
-    outs = [G.pagerank(v, e, d, ROUNDS, tol=None).select(F.lit(d).alias("d"), "id", "pr") for d in SWEEP]
-    res = outs[0]
-    for o in outs[1:]:
-        res = res.unionByName(o)
-    return _round(res, "pr")
+    every = G.pageranks(v, e, {f"d{k}": (d, None) for k, d in enumerate(SWEEP)}, ROUNDS, tol=None)
+    rows = F.array(*[F.struct(F.lit(d).alias("d"), F.col(f"d{k}").alias("pr")) for k, d in enumerate(SWEEP)])
+    return _round(every.select("id", F.explode(rows).alias("r")).select("r.d", "id", "r.pr"), "pr")
 
 
 def _idrange_sql():
@@ -226,18 +223,15 @@ def ranked(scores):
 def q_link_report(spark, sf_dir):
     """One long table (algo, id, score, rank) of the five link scores."""
     v, e = _g(spark, sf_dir)
-    pr = G.pagerank(v, e, D, ROUNDS, tol=None).select(F.lit("pagerank").alias("algo"), "id", F.col("pr").alias("score"))
-    tv = G.topic_vector(v, _topic_ids(spark, sf_dir))
-    tp = G.pagerank(v, e, D, ROUNDS, tol=None, teleport=tv).select(
-        F.lit("topic_pagerank").alias("algo"), "id", F.col("pr").alias("score"))
-    tr = G.trustrank(v, e, _trusted_ids(spark, sf_dir), D, ROUNDS, tol=None).select(
-        F.lit("trustrank").alias("algo"), "id", F.col("pr").alias("score"))
-    h = G.hits(v, e, ROUNDS, tol=None)
-    au = h.select(F.lit("authority").alias("algo"), "id", F.col("authority").alias("score"))
-    hb = h.select(F.lit("hub").alias("algo"), "id", F.col("hub").alias("score"))
-    allr = pr.unionByName(tp).unionByName(tr).unionByName(au).unionByName(hb)
-    allr = allr.withColumn("score", F.round("score", DIGITS))
-    return ranked(allr)
+    pr = G.pageranks(v, e, {"pagerank": (D, None), "topic_pagerank": (D, G.topic_vector(v, _topic_ids(spark, sf_dir))),
+                            "trustrank": (D, G.trust_vector(v, _trusted_ids(spark, sf_dir)))}, ROUNDS, tol=None)
+
+    def long(df, *names):
+        each = F.array(*[F.struct(F.lit(n).alias("algo"), F.col(n).alias("score")) for n in names])
+        return df.select("id", F.explode(each).alias("r")).select("r.algo", "id", F.round("r.score", DIGITS).alias("score"))
+
+    links = long(pr, "pagerank", "topic_pagerank", "trustrank")
+    return ranked(links.unionByName(long(G.hits(v, e, ROUNDS, tol=None), "authority", "hub")))
 
 
 def _convergence_sql():
@@ -254,3 +248,30 @@ def q_pagerank_convergence(spark, sf_dir):
     _, log = G.pagerank(v, e, D, ROUNDS, tol=1e-15, check_every=1, return_log=True)
     rows = [(int(r), float(d)) for r, d in log.history]
     return spark.createDataFrame(rows, "round int, l1_change double").withColumn("l1_change", F.round("l1_change", DIGITS))
+
+
+TO_THE_END = 1e-9
+
+
+@register("pagerank_converged")
+def q_pagerank_converged(spark, sf_dir):
+    """G1 run to its stop (L1 change below 1e-9): (id, pr, rounds, l1_change)."""
+    v, e = _g(spark, sf_dir)
+    pr, log = G.pagerank(v, e, D, 200, tol=TO_THE_END, return_log=True)
+    return _round(pr, "pr").withColumn("rounds", F.lit(log.rounds)).withColumn("l1_change", F.lit(log.history[-1][1]))
+
+
+@register("hits_converged")
+def q_hits_converged(spark, sf_dir):
+    """G10, both L2 changes below 1e-9: (id, authority, hub, rounds, l2_change)."""
+    v, e = _g(spark, sf_dir)
+    out, log = G.hits(v, e, 200, tol=TO_THE_END, norm_stop="l2", return_log=True)
+    return _round(out, "authority", "hub").withColumn("rounds", F.lit(log.rounds)).withColumn("l2_change", F.lit(log.history[-1][1]))
+
+
+@register("adjacency_edges", sql=with_clause(BASE) + "SELECT src, dst FROM edges")
+def q_adjacency_edges(spark, sf_dir):
+    """The graph as one row per vertex with its out-links, read back as edges."""
+    v, e = _g(spark, sf_dir)
+    lists = v.distinct().join(e.groupBy(F.col("src").alias("id")).agg(F.collect_list("dst").alias("links")), "id", "left")
+    return G.adjacency_to_tables(lists)[1]
