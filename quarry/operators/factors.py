@@ -7,6 +7,10 @@ negative neighbours.  Factors are fitted by MLlib's ALS on dense ids, which has
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -60,14 +64,82 @@ def neighbours(train: DataFrame, most: int, digits: int = 9) -> DataFrame:
             .where(F.col("rank") <= most))
 
 
-def knn_scores(train: DataFrame, pairs: DataFrame, ks: tuple[int, ...]) -> DataFrame:
+def _first_by_base(stats: DataFrame, most: int, slack: float) -> DataFrame:
+    """(n, y): for each number n of ratings that a user has, the users with the largest base for such a user.
+
+    The base of x and y is a_x times (g_y - n_x a_y), so its order depends on n_x alone.
+    Tasks keep the first ``most`` and those within ``slack`` of them, for each n; these are merged.
+    """
+    counts = np.array([r[0] for r in stats.select("n").distinct().orderBy("n").collect()], np.float64)    # at most as many as items
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            y, a, g = batch.column(0), batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            for n in counts if len(a) else ():
+                f = g - n * a
+                least = np.partition(f, len(f) - most)[len(f) - most] - slack if len(f) > most else -np.inf
+                at = np.flatnonzero(f >= least)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), int(n))), y.take(pa.array(at)), pa.array(f[at])],
+                                                 names=["n", "y", "f"])
+
+    kind = stats.schema[U].dataType.simpleString()
+    found = stats.select(U, "a", "g").mapInArrow(run, f"n long, y {kind}, f double")
+    ranked = found.withColumn("_r", F.row_number().over(W.partitionBy("n").orderBy(F.desc("f"), "y")))
+    last = ranked.where(F.col("_r") == most).select("n", F.col("f").alias("_least"))
+    return ranked.join(last, "n", "left").where((F.col("_r") <= most) | (F.col("f") >= F.col("_least") - slack)).select("n", "y")
+
+
+def neighbours_filled(train: DataFrame, most: int, digits: int = 9) -> DataFrame:
+    """H4 with unrated cells at 0 before centring: (x, y, sim, rank) with rank <= ``most``, ties by id.
+
+    An unrated cell is then minus the user's mean, so every pair of users has a similarity: a base from
+    terms of each user alone, and the co-rated products, which only add to it (scores are positive; 0 is unrated).
+    So the first ``most`` are among the co-rated users and the first ``most`` by base alone, and co-rated
+    users below the last of these by base are dropped before they are ranked.
+    """
+    rated = train.where(F.col(R) > 0)
+    size = rated.agg(F.count_distinct(I).alias("_items"))
+    stats = (rated.groupBy(U).agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg(R).alias("m"), F.sum(F.col(R) * F.col(R)).alias("q"))
+             .crossJoin(F.broadcast(size)))  # one row
+    norm = F.sqrt(F.col("q") + F.col("m") * F.col("m") * (F.col("_items") - 2 * F.col("n")))
+    stats = write_table(stats.withColumn("norm", norm).where("norm > 0").withColumn("a", F.col("m") / F.col("norm"))
+                        .withColumn("g", F.col("a") * (F.col("_items") - F.col("n"))), "user-stats")
+    least = stats.agg(F.min("a")).first()[0]
+    if least is None:
+        kind = train.schema[U].dataType.simpleString()
+        return train.sparkSession.createDataFrame([], f"x {kind}, y {kind}, sim double, rank int")
+    slack = 10.0 ** (1 - digits) / least           # what rounds to the same similarity counts as a tie
+    left = stats.select(F.col(U).alias("x"), *[F.col(c).alias(f"{c}x") for c in ("n", "m", "norm", "_items")])
+    right = stats.select(F.col(U).alias("y"), F.col("n").alias("ny"), F.col("m").alias("my"), F.col("norm").alias("normy"))
+
+    def similarity(pairs: DataFrame) -> DataFrame:
+        base = F.col("mx") * F.col("my") * (F.col("_itemsx") - F.col("nx") - F.col("ny"))
+        sim = (F.col("dot") + base) / (F.col("normx") * F.col("normy"))
+        return pairs.join(left, "x").join(right, "y").select("x", "y", F.round(sim, digits).alias("sim"))
+
+    lists = _first_by_base(stats, most + 1, slack)
+    own = stats.select(F.col(U).alias("x"), F.col("n").cast("long").alias("n"))
+    free = similarity(own.join(lists, "n").where("x <> y").select("x", "y", F.lit(0.0).alias("dot")))
+    place = F.row_number().over(W.partitionBy("x").orderBy(F.col("sim").desc(), "y"))
+    floor = write_table(free, "base-neighbours")
+    last = floor.withColumn("_r", place).where(F.col("_r") == most).select("x", F.col("sim").alias("_least"))
+    dots = co_rated(rated, I, U).groupBy(f"{U}_a", f"{U}_b").agg(F.sum(F.col(f"{R}_a") * F.col(f"{R}_b")).alias("sim"))
+    dots = both_directions(dots, U).withColumnRenamed("sim", "dot")
+    met = similarity(dots).join(last, "x", "left").where(F.col("_least").isNull() | (F.col("sim") >= F.col("_least"))).drop("_least")
+    both = floor.unionByName(met).groupBy("x", "y").agg(F.max("sim").alias("sim"))
+    return both.withColumn("rank", place.cast("int")).where(F.col("rank") <= most)
+
+
+def knn_scores(train: DataFrame, pairs: DataFrame, ks: tuple[int, ...], near: DataFrame | None = None) -> DataFrame:
     """H5: (user_id, item_id, pred_<k> ...), for every k of ``ks`` in one pass over the neighbours.
 
+    ``near`` are the neighbours to use, by default those of :func:`neighbours`.
+
     The k nearest users are taken first and of these the ones that rated the
     item.  No such user, or an unseen item: the user's mean; an unseen user: the mean of the users' means.
     """
     rows, means = centred(train)
-    near = neighbours(train, max(ks))
+    near = neighbours(train, max(ks)) if near is None else near
     theirs = rows.select(F.col(U).alias("y"), I, F.col(R).alias("_dev"))
     hit = pairs.select(U, I).distinct().join(near.withColumnRenamed("x", U), U).join(theirs, ["y", I])
     sums = []
@@ -81,9 +153,9 @@ def knn_scores(train: DataFrame, pairs: DataFrame, ks: tuple[int, ...]) -> DataF
     return base.select(U, I, *[F.coalesce(F.col("mean") + moved[k], "_all").alias(f"pred_{k}") for k in ks])
 
 
-def knn_errors(train: DataFrame, valid: DataFrame, ks: tuple[int, ...]) -> DataFrame:
+def knn_errors(train: DataFrame, valid: DataFrame, ks: tuple[int, ...], near: DataFrame | None = None) -> DataFrame:
     """H6: (k, n, rmse), one row per k."""
-    scored = knn_scores(train, valid, ks).join(valid.select(U, I, R), [U, I])
+    scored = knn_scores(train, valid, ks, near).join(valid.select(U, I, R), [U, I])
     wide = scored.agg(F.count(F.lit(1)).alias("n"), *[
         F.sqrt(F.avg(F.pow(F.col(R) - F.col(f"pred_{k}"), 2))).alias(f"e{k}") for k in ks])
     each = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"e{k}").alias("rmse")) for k in ks])

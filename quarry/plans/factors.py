@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import scale_score
+from quarry.functions.text import md5_bucket
 from quarry.operators import factors as FA
 from quarry.operators import gcn
+from quarry.operators import implicit
 from quarry.operators import neural
 from quarry.operators import recsys as RS
 from quarry.plans.derived import ratings, test_ratings, train_ratings, with_ctes
@@ -202,18 +204,101 @@ def q_attention(spark, sf_dir):
                     F.round(scale_score(F.col("score")), DIG).alias("scaled"))
 
 
-NEURAL_ROUNDS = 12
+NEURAL_ROUNDS = 20
+PATIENCE = 3
+
+
+def _valid(spark, sf_dir):
+    """(train rows to learn from, rows held back to stop by): a tenth of the pairs by md5."""
+    rows = write_table(train_ratings(spark, sf_dir).withColumn("_b", md5_bucket("item_id", "user_id", modulus=10)), "train-parts")
+    return rows.where("_b <> 0").drop("_b"), rows.where("_b = 0").drop("_b")
+
+
+def _reached(df, history):
+    """``df`` with the rounds used and the validation error reached."""
+    return df.withColumn("rounds", F.lit(len(history))).withColumn("valid_rmse", F.lit(float(min(history))))
 
 
 @register("neural_cf")
 def q_neural_cf(spark, sf_dir):
-    """A three-layer network on trained embeddings, test split."""
-    model = neural.fit(train_ratings(spark, sf_dir), rounds=NEURAL_ROUNDS)
-    return neural.scores(test_ratings(spark, sf_dir), model)
+    """A three-layer network on trained embeddings, stopped by validation; test split."""
+    learn, stop = _valid(spark, sf_dir)
+    model = neural.fit(learn, rounds=NEURAL_ROUNDS, valid=stop, patience=PATIENCE)
+    return _reached(neural.scores(test_ratings(spark, sf_dir), model), model.history)
 
 
 @register("embedding_mlp")
 def q_embedding_mlp(spark, sf_dir):
-    """One hidden layer on trained embeddings, test split."""
-    model = neural.fit(train_ratings(spark, sf_dir), dim=16, hidden=(128,), rounds=NEURAL_ROUNDS)
-    return neural.scores(test_ratings(spark, sf_dir), model)
+    """One hidden layer on trained embeddings, stopped by validation; test split."""
+    learn, stop = _valid(spark, sf_dir)
+    model = neural.fit(learn, dim=16, hidden=(128,), rounds=NEURAL_ROUNDS, valid=stop, patience=PATIENCE)
+    return _reached(neural.scores(test_ratings(spark, sf_dir), model), model.history)
+
+
+@register("svdpp_train")
+def q_svdpp_train(spark, sf_dir):
+    """SVD++ trained with patience, test split; rounds used and validation error reached."""
+    learn, stop = _valid(spark, sf_dir)
+    model = implicit.svdpp_fit(learn, dim=8, rounds=NEURAL_ROUNDS, valid=stop, patience=PATIENCE)
+    return _reached(implicit.svdpp_scores(test_ratings(spark, sf_dir), model), model.history)
+
+
+@register("lightgcn_train")
+def q_lightgcn_train(spark, sf_dir):
+    """LightGCN trained with patience, edges of weight 1 and weighted by scores; test split."""
+    learn, stop = _valid(spark, sf_dir)
+    out = None
+    for weighted, layers in ((False, 3), (True, 2)):
+        model = implicit.lightgcn_fit(learn, dim=8, layers=layers, weighted=weighted, rounds=NEURAL_ROUNDS, valid=stop, patience=PATIENCE)
+        rows = _reached(implicit.lightgcn_scores(test_ratings(spark, sf_dir), model), model.history).withColumn("weighted", F.lit(weighted))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+# ---------------------------------------------------------------- unrated cells at minus the mean (H4-H6)
+
+def _filled_sql(ks: tuple[int, ...]) -> dict[str, str]:
+    """As ``_knn_sql``, but for the similarity."""
+    out = _knn_sql(ks)
+    out["cn"] = """SELECT user_id, count(*) AS n, any_value(m) AS m, sum(score * score) AS q,
+        sqrt(sum(score * score) + any_value(m) * any_value(m) * (any_value(k) - 2 * count(*))) AS norm
+        FROM train JOIN cm USING (user_id) CROSS JOIN (SELECT count(DISTINCT item_id) AS k FROM train) GROUP BY user_id"""
+    out["cd"] = """SELECT a.user_id AS x, b.user_id AS y, sum(a.score * b.score) AS dot
+                   FROM train a JOIN train b ON a.item_id = b.item_id AND a.user_id <> b.user_id GROUP BY 1, 2"""
+    out["cr"] = f"""SELECT x, y, sim, row_number() OVER (PARTITION BY x ORDER BY sim DESC, y) AS rank FROM (
+        SELECT u.user_id AS x, v.user_id AS y,
+               round((coalesce(dot, {dbl(0.0)}) + u.m * v.m * (k - u.n - v.n)) / (u.norm * v.norm), 9) AS sim
+        FROM cn u JOIN cn v ON u.user_id <> v.user_id LEFT JOIN cd ON cd.x = u.user_id AND cd.y = v.user_id
+        CROSS JOIN (SELECT count(DISTINCT item_id) AS k FROM train))"""
+    return out
+
+
+@register("user_cosine_centred", sql=lambda: with_ctes(f"SELECT x, y, sim, CAST(rank AS INTEGER) AS rank FROM cr WHERE rank <= {max(KS)}",
+                                                       "train", "test", extra=_filled_sql(KS)))
+def q_user_cosine_centred(spark, sf_dir):
+    """H4: the 80 nearest users of each by centred cosine, unrated cells at 0 before centring."""
+    return FA.neighbours_filled(_train(spark, sf_dir), max(KS))
+
+
+@register("knn_predict_filled", sql=lambda: with_ctes(f"SELECT user_id, item_id, round(pred_{K}, {DIG}) AS pred FROM knn",
+                                                      "train", "test", extra=_filled_sql((K,))))
+def q_knn_predict_filled(spark, sf_dir):
+    """H5 on these neighbours."""
+    train = _train(spark, sf_dir)
+    out = FA.knn_scores(train, test_ratings(spark, sf_dir), (K,), FA.neighbours_filled(train, K))
+    return out.select("user_id", "item_id", F.round(f"pred_{K}", DIG).alias("pred"))
+
+
+def _best_filled_sql() -> str:
+    rows = " UNION ALL ".join(f"SELECT {k} AS k, count(*) AS n, round(sqrt(avg(pow(score - pred_{k}, 2))), {DIG}) AS rmse FROM knn"
+                              for k in KS)
+    return with_ctes(f"SELECT k, n, rmse, rmse = min(rmse) OVER () AS best FROM ({rows})", "train", "test", extra=_filled_sql(KS))
+
+
+@register("knn_best_k_filled", sql=_best_filled_sql)
+def q_knn_best_k_filled(spark, sf_dir):
+    """H6 on these neighbours."""
+    from pyspark.sql import Window as W
+    train = _train(spark, sf_dir)
+    out = FA.knn_errors(train, test_ratings(spark, sf_dir), KS, write_table(FA.neighbours_filled(train, max(KS)), "neighbours"))
+    return out.withColumn("rmse", F.round("rmse", DIG)).withColumn("best", F.round("rmse", DIG) == F.min(F.round("rmse", DIG)).over(W.partitionBy()))

@@ -94,3 +94,36 @@ def test_softmax_and_attention(spark):
     w = [[1.0, 0.0, 0.0, 0.0], [0.0, 0.0, 0.0, 1.0]]
     a = np.exp([1.0, 2.0]) / np.exp([1.0, 2.0]).sum()
     assert FA.attention_merge(rows, w).first().val == pytest.approx([a[0] + 5 * a[1], 3 * a[0] + 2 * a[1]])
+
+
+def _dense_filled(train, most):
+    """Cosine of all users with unrated cells at 0 before the user's mean is taken off."""
+    users, items = sorted({u for u, _, s in train if s > 0}), sorted({i for _, i, s in train if s > 0})
+    at = np.zeros((len(users), len(items)))
+    for u, i, s in train:
+        if s > 0:
+            at[users.index(u), items.index(i)] = s
+    mean = at.sum(axis=1) / (at > 0).sum(axis=1)
+    dev = at - mean[:, None]
+    norm = np.linalg.norm(dev, axis=1)
+    out = {}
+    for x, u in enumerate(users):
+        if norm[x] > 1e-12:
+            sim = {v: round(float(dev[x] @ dev[y] / (norm[x] * norm[y])), 9) for y, v in enumerate(users) if y != x and norm[y] > 1e-12}
+            out[u] = sorted(sim.items(), key=lambda e: (-e[1], e[0]))[:most]
+    return out
+
+
+@pytest.mark.parametrize("most", [1, 3, 50])
+def test_filled_neighbours_match_dense(spark, most):
+    rng = np.random.default_rng(9)
+    train = [(u, i, float(rng.integers(1, 6))) for u in range(40) for i in range(30) if rng.random() < 0.15 + 0.01 * (u % 7)]
+    train += [(50 + k, 3, 4.0) for k in range(4)] + [(60, 29, 0.0), (61, 2, 0.0), (61, 4, 3.0)]      # ties, and zeros: unrated
+    got = {}
+    for r in FA.neighbours_filled(spark.createDataFrame(train, SCHEMA), most).collect():
+        got.setdefault(r.x, []).append((r["rank"], r.y, r.sim))
+    want = _dense_filled(train, most)
+    assert got.keys() == want.keys()
+    for u in want:
+        assert [(y, pytest.approx(s, abs=2e-9)) for y, s in want[u]] == [(y, s) for _, y, s in sorted(got[u])]
+    assert FA.neighbours_filled(spark.createDataFrame([], SCHEMA), most).count() == 0
