@@ -4,10 +4,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quarry.llm import chat, components, resampling, secrets, toxicity, vector_dedup
+from quarry.llm import textnum as tn
 
 
 def test_components_of_chains_stars_and_cycles(spark):
@@ -72,6 +74,60 @@ def test_vector_buckets_find_pairs_at_the_limit():
     assert met.mean() >= 0.99
 
 
+def test_vectors_of_extreme_sizes(spark):
+    rows = [(1, [1e200, 1e200]), (2, [2e200, 2e200]), (3, [1e-200, 1e-200]), (4, [3e-310, 3e-310]), (5, [1e200, -1e200]), (6, [1.0, 1.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_vectors(
+        spark.createDataFrame([(*r, 0) for r in rows], "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: (4, 1), 2: (4, 1), 3: (4, 1), 4: (4, 1), 5: (0, 5), 6: (4, 1)}
+
+
+def test_sessions_keep_their_settings(spark, docs_of):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = docs_of([(1, "a fine text"), (2, "another")])
+    toxicity.score(docs, toxicity.fit(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"))[0]).collect()
+    resampling.resample(docs, docs, 0.5).collect()
+    assert spark.conf.get(key) == before
+
+
+def test_forward_and_gradient_against_loops():
+    """One training step's parts against plain loops: maxima, score, and the gradient by finite differences."""
+    rng = np.random.default_rng(4)
+    texts = pa.array(["one two three four", "two", "", "five one five six seven eight nine ten"])
+    buf, off = tn.text_buffers(texts)
+    slots, row = toxicity.features(buf, off)
+    words = np.zeros((toxicity.SLOTS + 1, toxicity.SIZE), np.float32)
+    words[:-1] = rng.normal(0, 0.5, (toxicity.SLOTS, toxicity.SIZE))
+    model = toxicity.Model(words, [rng.normal(size=(w, toxicity.SIZE, toxicity.FILTERS)).astype(np.float32) for w in toxicity.WIDTHS],
+                           rng.normal(size=24).astype(np.float32), rng.normal(size=24).astype(np.float32), 0.3)
+    want = np.zeros((4, 24))
+    for r in range(4):
+        own = [[s for s in x if s >= 0] for x, of in zip(slots.tolist(), row.tolist()) if of == r]
+        e = [np.mean([words[s].astype(float) for s in x], axis=0) for x in own]
+        for w, f in enumerate(model.filters):
+            for c in range(8):
+                z = [sum(float(e[p + o] @ f[o, :, c]) for o in range(len(f)) if p + o < len(e)) + model.filter_bias[w * 8 + c]
+                     for p in range(len(e))]
+                want[r, w * 8 + c] = max([0.0, *z])
+    found, where = model.pooled(slots, row, 4)
+    assert np.allclose(found, want, atol=1e-4) and np.allclose(model.maxima(slots, row, 4), want, atol=1e-4)
+    assert np.allclose(model.score(buf, off), 1 / (1 + np.exp(-(want @ model.weight + 0.3))), atol=1e-4)
+    assert ((where >= 0) == (want > 0)).all()
+
+
+def test_maxima_over_parts_of_a_long_text(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = pa.array([" ".join(f"w{k}" for k in rng.integers(0, 90, n)) for n in (300, 0, 5, 170)])
+    buf, off = tn.text_buffers(texts)
+    slots, row = toxicity.features(buf, off)
+    model = toxicity.Model(rng.normal(size=(toxicity.SLOTS + 1, 16)).astype(np.float32), [rng.normal(size=(w, 16, 8)).astype(np.float32)
+                           for w in toxicity.WIDTHS], rng.normal(size=24).astype(np.float32), np.ones(24, np.float32), 0.0)
+    whole = model.maxima(slots, row, 4)
+    for n in (1, 2, 7, 64):
+        monkeypatch.setattr(toxicity, "WORDS_AT_ONCE", n)
+        assert np.allclose(model.maxima(slots, row, 4), whole, atol=1e-4)
+
+
 def test_templates():
     with pytest.raises(chat.TemplateError):
         chat.compile_template("{{ x | nofilter }}")

@@ -53,6 +53,6 @@ def test_stages_follow_each_other(spark, tmp_path_factory):
 def test_every_query_is_registered():
     import re
     names = {int(re.match(r"op(\d+)_", n)[1]) for n in Q.queries()}
-    assert names == set(range(1, 11))
+    assert names == set(range(1, 14))
     assert set(Q.oracle_sql()) <= set(Q.queries())
     assert [s[0] for s in P.STAGES] == ["toxicity", "line_dedup", "minhash", "decontamination", "byte_bpe"]

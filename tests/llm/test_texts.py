@@ -1,16 +1,21 @@
 """Line dedup, tokens, decontamination, sharding and near-duplicates against brute force on small tables."""
 
 import hashlib
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import bpe, line_dedup, minhash, shards, winnow
 
 public = pytest.importorskip("public_tokenizers")
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def test_line_dedup_against_brute_force(docs_of):
@@ -60,6 +65,13 @@ def test_bpe_as_the_library_does(spark, docs_of):
     ids = library.encode_ordinary(rows[0][1])
     assert digest[0].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
     assert bpe.token_digests(docs_of([]), vocabulary).count() == 0
+    long = [(1, " ".join(rnd.choice(["one", "two's", "l'été", "\n", "x1", "　"]) for _ in range(300_000))), (2, "end"), (3, None)]
+    digest = {r.doc_id: r for r in bpe.token_digests(docs_of(long), vocabulary).collect()}
+    ids = {i: library.encode_ordinary(t or "") for i, t in long}
+    assert {i: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for i, r in digest.items()} == {
+        i: (len(ids[i]), hashlib.sha256(" ".join(map(str, ids[i])).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
+        for i, t in long}
+    assert {r.doc_id: list(r.ids) for r in bpe.encode(docs_of(long), vocabulary).collect()} == ids
 
 
 def words(text):
@@ -99,6 +111,29 @@ def test_decontamination_against_brute_force(spark, docs_of):
     assert winnow.contaminated_words(docs_of(rows), bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_benchmark_of_many_short_items_is_not_broadcast(spark, docs_of, monkeypatch):
+    many = spark.range(300_000).select("id", F.concat_ws(" ", F.lit("x"), F.col("id"), F.lit("y")).alias("text")).withColumnRenamed("id", "item_id")
+    assert winnow.benchmark_index(many)[-1] is False
+    repeated = spark.range(1000).select(F.col("id").alias("item_id"), F.lit("one two three").alias("text"))
+    places, names, small = winnow.benchmark_index(repeated)
+    assert small and places.count() == 1 and names.count() == 1000
+    long = spark.range(3).select(F.col("id").alias("item_id"), F.repeat(F.lit("w "), 400_000).alias("text"))
+    assert winnow.benchmark_index(long.withColumn("text", F.concat("text", "item_id")))[-1] in (True, False)
+    rows = [(k, "a b c d e f g h i j k l m " * (k % 3) + "tail") for k in range(20)] + [(30, "say one two three now")]
+    bench = spark.createDataFrame([(k, "b c d e f g h i j k l") for k in range(50)] + [(60, "two three"), (61, "e f g h i")], "item_id long, text string")
+
+    def found():
+        return sorted((r.doc_id, r.n_hit, r.items) for r in winnow.contaminated_words(docs_of(rows), bench).collect())
+
+    narrow = found()
+    monkeypatch.setattr(winnow, "BROADCAST_ROWS", 0)
+    plans = []
+    monkeypatch.setattr(winnow, "written", lambda df, name, real=winnow.written: plans.append(
+        df._jdf.queryExecution().analyzed().toString()) or real(df, name))
+    assert found() == narrow and sum(r[1] for r in narrow) > 100
+    assert not any("strategy=broadcast" in p for p in plans)
+
+
 def test_shards_have_near_equal_bytes_and_gapless_slots(docs_of):
     rnd = random.Random(5)
     rows = [(k, "copy") for k in range(300)] + [(1000 + k, "t" * rnd.randint(0, 90)) for k in range(600)]
@@ -117,6 +152,62 @@ def test_shards_have_near_equal_bytes_and_gapless_slots(docs_of):
     assert shards.shard(docs_of([])).count() == 0
 
 
+def _grown(code, text_mb=50):
+    """Peak MB that ``code`` adds in a fresh process over one text of ``text_mb`` MB, a column ``column``."""
+    head = f"""
+import random, resource, sys
+sys.path.insert(0, {ROOT!r})
+import numpy as np, pyarrow as pa
+rnd = random.Random(1)
+bag = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 9))) for _ in range(5000)]
+part = " ".join(rnd.choice(bag) for _ in range(100_000)) + ". "
+column = pa.array([part * ({text_mb} * 1_000_000 // len(part))])
+small = pa.array([part[:1000]])
+"""
+    tail = """
+def peak():
+    return resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024
+go(small)
+before = peak()
+go(column)
+print(peak() - before)
+"""
+    done = subprocess.run([sys.executable, "-c", head + code + tail], capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-2000:]
+    return float(done.stdout.split()[-1])
+
+
+@pytest.mark.parametrize("code, most", [
+    ("""
+from quarry.llm import bpe
+import public_tokenizers as P
+codec = bpe.Codec(bpe.read_ranks(open(P.path("byte_bpe_50k.tiktoken"), "rb").read()))
+def go(column):
+    for _, ids, n in bpe._encoded(codec, column):
+        codec.decode(ids)
+""", 150),
+    ("""
+from quarry.llm import toxicity as t, textnum as tn
+rng = np.random.default_rng(1)
+model = t.Model(rng.normal(size=(t.SLOTS + 1, t.SIZE)).astype(np.float32), [rng.normal(size=(w, t.SIZE, t.FILTERS)).astype(np.float32)
+                for w in t.WIDTHS], np.zeros(24, np.float32), np.ones(24, np.float32), 0.0)
+def go(column):
+    list(t._scores(model, column))
+""", 700),
+    ("""
+from quarry.llm import minhash, textnum as tn
+def go(column):
+    minhash.shingle_sets(*tn.text_buffers(column), 5)
+""", 900),
+    ("""
+from quarry.llm import resampling, textnum as tn
+def go(column):
+    resampling.ngrams(*tn.text_buffers(column))
+""", 900)])
+def test_one_text_of_50_megabytes(code, most):
+    assert _grown(code) < most
+
+
 def test_minhash_against_brute_force(docs_of):
     rnd = random.Random(6)
     base = [f"w{rnd.randint(0, 400)}" for _ in range(120)]
