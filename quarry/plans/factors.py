@@ -204,7 +204,7 @@ def q_attention(spark, sf_dir):
                     F.round(scale_score(F.col("score")), DIG).alias("scaled"))
 
 
-NEURAL_ROUNDS = 20
+NEURAL_ROUNDS = 15
 PATIENCE = 3
 
 
@@ -239,7 +239,7 @@ def q_embedding_mlp(spark, sf_dir):
 def q_svdpp_train(spark, sf_dir):
     """SVD++ trained with patience, test split; rounds used and validation error reached."""
     learn, stop = _valid(spark, sf_dir)
-    model = implicit.svdpp_fit(learn, dim=8, rounds=NEURAL_ROUNDS, valid=stop, patience=PATIENCE)
+    model = implicit.svdpp_fit(learn, dim=8, rounds=12, lr=0.1, valid=stop, patience=PATIENCE)
     return _reached(implicit.svdpp_scores(test_ratings(spark, sf_dir), model), model.history)
 
 
@@ -249,7 +249,7 @@ def q_lightgcn_train(spark, sf_dir):
     learn, stop = _valid(spark, sf_dir)
     out = None
     for weighted, layers in ((False, 3), (True, 2)):
-        model = implicit.lightgcn_fit(learn, dim=8, layers=layers, weighted=weighted, rounds=NEURAL_ROUNDS, valid=stop, patience=PATIENCE)
+        model = implicit.lightgcn_fit(learn, dim=8, layers=layers, weighted=weighted, rounds=10, lr=0.3, valid=stop, patience=PATIENCE)
         rows = _reached(implicit.lightgcn_scores(test_ratings(spark, sf_dir), model), model.history).withColumn("weighted", F.lit(weighted))
         out = rows if out is None else out.unionByName(rows)
     return out
