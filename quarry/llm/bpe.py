@@ -349,7 +349,7 @@ def encode(df: DataFrame, vocabulary, id_col: str = "doc_id", text_col: str = "t
     """(id, ids array<int>) for every row; a null text has no ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(vocabulary)
-        for batch in batches:
+        for batch in tn.slices(batches, 1):
             held: list[np.ndarray] = []
             for lo, ids, per_row in _encoded(codec, batch.column(1)):
                 held.append(ids)
@@ -416,7 +416,7 @@ def token_digests(df: DataFrame, vocabulary, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(vocabulary)
         numbers = _Bytes([b"%d " % i for i in range(len(codec.tokens))])
-        for batch in batches:
+        for batch in tn.slices(batches, 1):
             rows, held = [], _Digests()
             for _, ids, per_row in _encoded(codec, batch.column(1)):
                 (named, sizes), (data, lengths) = numbers.of(ids), codec.decode(ids)

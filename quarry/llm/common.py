@@ -12,14 +12,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_ROWS = 1024
+_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the shared checkpoint folder and read it back.
 
-    A written table is computed once, survives lost executors and cuts lineage.
+    A written table is computed once, survives lost executors and cuts lineage.  While it is
+    written, Arrow batches have at most BATCH_ROWS rows, unless the session sets a number of its own.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    given = spark.conf.get(_ROWS_KEY)
+    try:
+        if given == "10000":
+            spark.conf.set(_ROWS_KEY, str(BATCH_ROWS))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_ROWS_KEY, given)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_written(df: DataFrame) -> None:

@@ -81,7 +81,7 @@ def shingle_sets(buf: np.ndarray, off: np.ndarray, words: int) -> tuple[np.ndarr
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """(id, n_shingles, d1, d2, bands): set size, digest of the set and band keys (null for an empty set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tn.slices(batches, 1):
             buf, off = tn.text_buffers(batch.column(1))
             for lo, hi in tn.pieces(off):
                 n = hi - lo
@@ -120,7 +120,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataF
 def _full_sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """(id, shingles): the whole set of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tn.slices(batches, 1):
             buf, off = tn.text_buffers(batch.column(1))
             for lo, hi in tn.pieces(off):
                 n = hi - lo

@@ -62,7 +62,7 @@ def count_ngrams(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, SLOTS), np.int64)
-        for batch in batches:
+        for batch in tn.slices(batches, 0):
             buf, off = tn.text_buffers(batch.column(0))
             good = batch.column(1).to_numpy(zero_copy_only=False)
             for lo, hi in tn.pieces(off):
@@ -92,7 +92,7 @@ def weigh(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col:
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tn.slices(batches, 1):
             buf, off = tn.text_buffers(batch.column(1))
             n, w = [np.zeros(0, np.int64)], [np.zeros(0)]
             for lo, hi in tn.pieces(off):

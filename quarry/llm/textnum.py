@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 PIECE_BYTES = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
@@ -51,6 +52,14 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, off - off[0]
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``most`` bytes of a string column, so copies and results stay small."""
+    for batch in batches:
+        size = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        for lo, hi in pieces(np.concatenate(([0], np.cumsum(size, dtype=np.int64))), most):
+            yield batch.slice(lo, hi - lo)
+
+
 def pieces(off: np.ndarray, most: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``most`` bytes each (a longer single text is a range of its own)."""
     lo, n = 0, len(off) - 1
