@@ -14,6 +14,9 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+BUCKETED = "quarry_"     # names of catalog tables begin with it
+
+
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
                   app: str = "quarry", event_log_dir: str | None = None) -> SparkSession:
     """A local session tuned like the cluster one (AQE on, UI off)."""
@@ -99,19 +102,38 @@ def write_bucketed(df: DataFrame, name: str, by: str) -> DataFrame:
     import uuid
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"quarry_{name}_{uuid.uuid4().hex[:12]}"
-    (df.repartition(n, by).write.bucketBy(n, by).sortBy(by).option("path", scratch_path(spark, name))
+    table = f"{BUCKETED}{name}_{uuid.uuid4().hex[:12]}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{table}"     # the folder tells the table's name
+    (df.repartition(n, by).write.bucketBy(n, by).sortBy(by).option("path", path)
      .format("parquet").saveAsTable(table))
     return spark.table(table)
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _file_system(spark, path)
+    return fs.exists(at)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared scratch space; one that isn't there is no error."""
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
 def drop_table(df: DataFrame) -> None:
-    """Delete the files of a table written by ``write_table`` that nothing reads any more."""
+    """Delete a table written by ``write_table`` or ``write_bucketed`` that nothing reads any more."""
     spark = df.sparkSession
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if "/tables/" in folder:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            name = folder.rsplit("/", 1)[1]
+            if name.startswith(BUCKETED):
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+            delete_path(spark, folder)
 
 
 _SHIPPED: set[str] = set()
