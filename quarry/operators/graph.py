@@ -82,17 +82,24 @@ class Links:
     """
 
     def __init__(self, links: DataFrame, by: str, keys: list[str]):
-        self.on, self.hubs = keys + [by], None
+        self.on, self.hubs, self.heavy = keys + [by], None, None
         counts = links.groupBy(*self.on).agg(F.count(F.lit(1)).alias("_n"))
         limit = max(HUB, (counts.agg(F.sum("_n")).first()[0] or 0) // 100_000)
         hubs = write_table(counts.where(F.col("_n") > limit).select(*self.on), "hubs")
         if hubs.isEmpty():
+            drop_table(hubs)
             self.light = write_bucketed(links, "links", by)
             return
         self.hubs = hubs
         self.heavy = write_table(links.join(F.broadcast(hubs), self.on, "left_semi"), "hub-links")
         self.light = write_bucketed(links.join(F.broadcast(hubs), self.on, "left_anti"), "links", by)
 
+    def drop(self) -> None:
+        """Delete the tables, once nothing reads them any more."""
+        for table in (self.light, self.hubs, self.heavy):
+            if table is not None:
+                drop_table(table)
+
     def join(self, state: DataFrame) -> DataFrame:
         """Links with the columns of ``state`` for their end."""
         rows = self.light.join(state, self.on)
@@ -148,6 +155,7 @@ def pageranks(vertices: DataFrame, edges: DataFrame, settings: dict[str, tuple[f
             drop_table(old)
         if settled:
             break
+    links.drop()
     return ranks(sums).select("id", *[F.col("pr")[k].alias(name) for k, name in enumerate(names)])
 
 
@@ -211,6 +219,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, d: float = 0.85, max_iter: i
         if sums is not None:
             drop_table(sums)
         sums = new
+    links.drop()
     out = ranks(sums)
     return (out, log) if return_log else out
 
@@ -316,6 +325,8 @@ def hits(vertices: DataFrame, edges: DataFrame, max_iter: int = 100, tol: float
         for old in last or ():
             drop_table(old)
         last = new
+    by_src.drop()
+    by_dst.drop()
     if last is None:
         one = F.lit(1.0)
         out = vs.select(*keys, "id", one.alias("authority"), one.alias("hub"))
