@@ -13,6 +13,7 @@ from quarry.functions.scalar import scale_score
 from quarry.functions.text import md5_bucket
 from quarry.operators import factors as FA
 from quarry.operators import gcn
+from quarry.operators import grid
 from quarry.operators import implicit
 from quarry.operators import neural
 from quarry.operators import recsys as RS
@@ -235,6 +236,16 @@ def q_embedding_mlp(spark, sf_dir):
     return _reached(neural.scores(test_ratings(spark, sf_dir), model), model.history)
 
 
+GRID = {"dims": (4, 8), "hidden": ((16,), (16, 8)), "dropouts": (0.1, 0.2), "rates": (0.05, 0.02)}
+
+
+@register("grid_neural")
+def q_grid_neural(spark, sf_dir):
+    """Sixteen settings on four axes trained in one job a round, each stopped by its validation error."""
+    learn, stop = _valid(spark, sf_dir)
+    return grid.results(spark, grid.search(learn, stop, grid.settings(**GRID), rounds=10, patience=PATIENCE))
+
+
 @register("svdpp_train")
 def q_svdpp_train(spark, sf_dir):
     """SVD++ trained with patience, test split; rounds used and validation error reached."""
