@@ -160,6 +160,16 @@ def dense_ids(ids: DataFrame, col: str, out_col: str = "idx") -> DataFrame:
             .select(col, (F.col("_off") + F.col("_local") - 1).alias(out_col)))
 
 
+def raw_ids(rows: DataFrame, ids: DataFrame, col: str, idx_col: str) -> DataFrame:
+    """``rows`` with the id ``col`` in place of its index ``idx_col``, by a map of :func:`dense_ids`.
+
+    Rows with an unknown or null index keep a null id; no row is lost or repeated.
+    """
+    named = ids.select(F.col(col).alias("_raw"), F.col("idx").alias("_idx"))
+    found = rows.join(named, F.col(idx_col) == F.col("_idx"), "left").withColumn(col, F.col("_raw"))
+    return found.drop("_raw", "_idx", idx_col)
+
+
 def topk_per_key(df: DataFrame, key: str, score: str, tie: str, k: int) -> DataFrame:
     """Top-k rows per key by (score desc, tie asc)."""
     w = W.partitionBy(key).orderBy(F.col(score).desc(), F.col(tie).asc())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quarry.operators import recsys as RS
 from quarry.plans.derived import rating_events, ratings, table, test_ratings, train_ratings, with_ctes
 from quarry.plans.registry import register
+from quarry.session import write_table
 
 
 @register("set_ops", sql=with_ctes("""
@@ -55,6 +56,22 @@ def q_dense_ids(spark, sf_dir):
     return RS.dense_ids(ratings(spark, sf_dir), "user_id")
 
 
+@register("best_rated_by_index", sql=with_ctes("""
+SELECT u.user_id, i.item_id, r.idx AS user_idx, r.score FROM (
+  SELECT user_id, item_id, score, dense_rank() OVER (ORDER BY user_id) - 1 AS idx,
+         row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rn FROM ratings) r
+JOIN (SELECT DISTINCT user_id FROM ratings) u USING (user_id)
+JOIN (SELECT DISTINCT item_id FROM ratings) i USING (item_id) WHERE rn = 1""", "ratings"))
+def q_best_by_index(spark, sf_dir):
+    """Every user's best item, found on dense indices and mapped back to the ids."""
+    r = ratings(spark, sf_dir)
+    users, items = (write_table(RS.dense_ids(r, c), f"{c}-map") for c in ("user_id", "item_id"))
+    rows = (r.join(users.withColumnRenamed("idx", "u"), "user_id").join(items.withColumnRenamed("idx", "i"), "item_id")
+            .groupBy("u").agg(F.max_by(F.struct("i", "score"), F.struct("score", -F.col("i"))).alias("b"))
+            .select("u", F.col("u").alias("user_idx"), "b.i", "b.score"))
+    return RS.raw_ids(RS.raw_ids(rows, users, "user_id", "u"), items, "item_id", "i").select("user_id", "item_id", "user_idx", "score")
+
+
 @register("ratings_latest", sql="""
 SELECT user_id, item_id, score FROM (
   SELECT o_custkey AS user_id, l_partkey AS item_id, l_quantity AS score,

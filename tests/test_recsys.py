@@ -62,3 +62,14 @@ def test_quantiles_by_position(spark):
     got = RS.quantiles(df, "score", {"a": 0.0, "b": 0.1, "c": 0.333, "d": 0.5, "e": 1.0}).first()
     assert list(got) == pytest.approx(list(np.quantile(values, [0.0, 0.1, 0.333, 0.5, 1.0])))
     assert list(RS.quantiles(df.where("score < 0"), "score", {"a": 0.5}).first()) == [None]
+
+
+def test_indices_map_back_to_their_ids(spark):
+    names = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "name string")
+    ids = RS.dense_ids(names, "name")
+    rows = spark.createDataFrame([(0, 1.0), (2, 2.0), (2, 2.0), (7, 3.0), (None, 4.0)], "i int, score double")
+    got = RS.raw_ids(rows, ids, "name", "i")
+    assert got.columns == ["score", "name"]
+    assert sorted((r.score, r.name) for r in got.select("score", F.col("name")).toPandas().itertuples(index=False)) == [
+        (1.0, "a"), (2.0, "c"), (2.0, "c"), (3.0, None), (4.0, None)]
+    assert RS.raw_ids(rows.limit(0), ids, "name", "i").count() == 0
