@@ -190,6 +190,29 @@ def test_toxicity_edge_cases(spark, docs_of):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, docs_of, monkeypatch):
+    """A word that only few of many rows hold is learnt wherever these rows are; so are thresholds."""
+    ids = [k for k in range(1, 20000) if zlib.crc32(str(k).encode()) % 5 != 0][:9000]
+    rare = set(ids[::300])
+    docs = docs_of([(k, "rotten words" if k in rare else "plain words" if k % 9 else "idiot words") for k in ids])
+    labels = spark.createDataFrame([(k, int(k in rare or k % 9 == 0)) for k in ids], "doc_id long, toxic int")
+    taught, judged = spark.sparkContext.accumulator(0), []
+    cut, limit = toxicity._cut, toxicity.thresholds
+
+    def counted(batches, most):
+        for shard, texts, y in cut(batches, most):
+            taught.add(len(y))
+            yield shard, texts, y
+
+    monkeypatch.setattr(toxicity, "_cut", counted)
+    monkeypatch.setattr(toxicity, "EPOCHS", 6)
+    monkeypatch.setattr(toxicity, "thresholds", lambda s, y, w, lang: judged.append(w.sum()) or limit(s, y, w, lang))
+    model, _ = toxicity.fit(docs, labels)
+    assert judged[0] > 1500 and taught.value + judged[0] * toxicity.EPOCHS == 9000 * toxicity.EPOCHS
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert all((scores[k] >= 0.5) == (k in rare or k % 9 == 0) for k in ids)
+
+
 def test_resampling_takes_the_largest_keys(spark, docs_of):
     rnd = random.Random(2)
     good = [(k, " ".join(rnd.choice(["the", "fine", "text"]) for _ in range(30))) for k in range(60)]
