@@ -40,6 +40,8 @@ PREFIXES = (3, 4, 5, 6)
 SHARD_ROWS = 4000     # labelled rows of a shard, until there are MOST_SHARDS
 MOST_SHARDS = 64
 CHUNKS = 16           # pieces of the parameters that are averaged apart
+MARKS_BYTES = 96 << 20       # ids of labelled rows that are sent to all tasks, at most; more are joined by a shuffle
+MARKS_ROW = 256       # ids of a row of them, about
 EPOCHS = 6
 STEPS = np.linspace(0.2, 0.9, 15)     # thresholds to choose from
 BATCH_BYTES = 1 << 16
@@ -284,6 +286,22 @@ def _in_fold(id_col: str) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))), F.lit(5))
 
 
+def labelled(docs: DataFrame, marks: DataFrame) -> tuple[DataFrame, int]:
+    """(rows of ``docs`` (_id, ...) whose id has a row in ``marks`` (_id, y), with that y; the number of marks).
+
+    The marks go to the texts as lists of ids by a hash, so that texts without a label aren't shuffled.
+    """
+    word = F.col("_id").cast("string")
+    n, size = marks.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(word) + F.lit(8)), F.lit(0))).first()
+    if size > MARKS_BYTES:
+        return docs.join(marks, "_id"), n
+    group = F.pmod(F.xxhash64(word), F.lit(max(1, n // MARKS_ROW))).cast("int").alias("_g")
+    lists = marks.groupBy(group).agg(*[F.collect_list(F.when(F.col("y") == y, F.col("_id"))).alias(f"_y{y}") for y in (0, 1)])
+    found = F.when(F.array_contains("_y0", F.col("_id")), 0).when(F.array_contains("_y1", F.col("_id")), 1)
+    given = docs.where("_id IS NOT NULL").select("*", group).join(F.broadcast(lists), "_g").withColumn("y", found)
+    return given.where("y IS NOT NULL").drop("_g", "_y0", "_y1"), n
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         lang_col: str | None = "lang") -> tuple[Model, dict[str, float]]:
     """(classifier, thresholds by language) from all labelled rows outside fold 0, whole texts.
@@ -294,9 +312,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     marks = labels.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label_col}`").cast("int").alias("y")).where(
         F.col("y").isin(0, 1) & F.col("_id").isNotNull() & (F.pmod(F.crc32(F.col("_id").cast("string")), F.lit(5)) != 0))
     marks = marks.groupBy("_id").agg(F.max("y").alias("y"))
-    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), lang.alias("lang")).join(marks, "_id")
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), lang.alias("lang"))
+    rows, n = labelled(rows, marks)
     rows = rows.withColumn("_o", F.xxhash64("_id", F.lit("fit"))).withColumn("back", F.pmod(F.xxhash64("_id", F.lit("back")), F.lit(5)) == 4)
-    n = marks.count()
     shards = max(1, min(MOST_SHARDS, n // SHARD_ROWS))
     rows = write_table(rows.withColumn("shard", F.pmod(F.col("_o"), F.lit(shards)).cast("int")).repartition(shards, "shard")
                        .sortWithinPartitions("shard", "_o", "_id"), "labelled")

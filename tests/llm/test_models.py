@@ -128,6 +128,37 @@ def test_maxima_over_parts_of_a_long_text(monkeypatch):
         assert np.allclose(model.maxima(slots, row, 4), whole, atol=1e-4)
 
 
+def test_unlabelled_texts_are_not_shuffled(spark, monkeypatch):
+    """The labels meet the texts where these are, and just the labelled texts go to the shards; beyond MARKS_BYTES the same rows."""
+    docs = spark.createDataFrame([*[(k, f"text {k}", "en") for k in range(900)], (5, "again", "de"), (None, "no id", "en"), (901, None, "fr")],
+                                 "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([*[(k, k % 2) for k in range(0, 700, 3)], (5, 0), (5, 1), (901, 1), (9999, 1), (None, 1), (8, None)],
+                                   "doc_id int, toxic int")
+    plans, rows = [], []
+    write = toxicity.write_table
+
+    def held(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        out = write(df, name)
+        rows.append(sorted(map(str, out.select("_id", "text", "lang", "y").collect())))
+        return out
+
+    monkeypatch.setattr(toxicity, "write_table", held)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        toxicity.fit(docs, labels)
+        monkeypatch.setattr(toxicity, "MARKS_BYTES", 0)
+        toxicity.fit(docs, labels)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plans[0] and "SortMergeJoin" in plans[1]
+    marks = {k: k % 2 for k in range(0, 700, 3)} | {5: 1, 901: 1}
+    want = [(r.doc_id, r.text or "", r.lang, marks[r.doc_id]) for r in docs.collect()
+            if r.doc_id in marks and zlib.crc32(str(r.doc_id).encode()) % 5]
+    assert rows[0] == rows[1] == sorted(f"Row(_id={i}, text={t!r}, lang={g!r}, y={y})" for i, t, g, y in want)
+
+
 def test_templates():
     with pytest.raises(chat.TemplateError):
         chat.compile_template("{{ x | nofilter }}")
