@@ -2,7 +2,8 @@
 
 STAGES lists the stages in order.  Each takes (spark, docs, sf_dir) and returns
 a DataFrame, which is written and read again as the next stage's documents.
-All but the last return the columns of documents.
+All but the last return the columns of documents.  Stages whose texts go to Python at the end write
+their result themselves (``WRITTEN``), in small Arrow batches whatever the caller's session says.
 
 Defined cases: rows without an id, without a text or without words pass all
 stages that they don't break a rule of; texts that line dedup empties go, as
@@ -30,7 +31,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     _prepare(spark)
     model, limits = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, model, also=tuple(docs.columns), to="_toxicity")
-    return scored.where(F.col("_toxicity") < toxicity.threshold_of(F.col("lang"), limits)).select(*docs.columns)
+    clean = scored.where(F.col("_toxicity") < toxicity.threshold_of(F.col("lang"), limits)).select(*docs.columns)
+    return written(clean, "pipeline-toxicity")
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,12 +61,15 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def tokenise_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of the documents' tokens."""
     _prepare(spark)
-    return bpe.token_digests(docs, vocabulary(spark))
+    return written(bpe.token_digests(docs, vocabulary(spark)), "pipeline-byte_bpe")
 
 
 STAGES = [("toxicity", toxicity_stage), ("line_dedup", line_dedup_stage), ("minhash", minhash_stage),
           ("decontamination", decontamination_stage), ("byte_bpe", tokenise_stage)]
 
+#: Stages that return a table they have written.
+WRITTEN = {"toxicity", "byte_bpe"}
+
 #: SQL can't express the classifier; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
@@ -74,5 +79,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     _prepare(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = stage(spark, docs, sf_dir)
+        docs = docs if name in WRITTEN else written(docs, f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm import textnum as tn
+from quarry.llm.common import small_batches
 from quarry.session import drop_table, write_table
 
 SLOTS = 1 << 15
@@ -327,12 +328,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         learn, of = rows, list(seen.values())
     total = sum(r["n"] for r in of)
     model = fresh(sum(r["n"] for r in of if r["y"] == 1) / total if total else 0.0)
-    if model.constant is None:
-        model = train(learn, model, max(1, min(BATCH_BYTES, sum(r["size"] for r in of) // shards // LEAST_STEPS)))
     limits = F.array(*[F.lit(float(t)) for t in STEPS])
     passed = F.size(F.filter(limits, lambda t: F.col("score") >= t))          # how many thresholds a row reaches
-    judged = score(rows.where("back"), model, also=("y", "lang")).groupBy(F.coalesce("lang", F.lit("")).alias("lang"), "y", passed.alias("k")).agg(
-        F.count(F.lit(1)).alias("n")).collect()
+    with small_batches(docs.sparkSession):
+        if model.constant is None:
+            model = train(learn, model, max(1, min(BATCH_BYTES, sum(r["size"] for r in of) // shards // LEAST_STEPS)))
+        judged = score(rows.where("back"), model, also=("y", "lang")).groupBy(F.coalesce("lang", F.lit("")).alias("lang"), "y", passed.alias("k")).agg(
+            F.count(F.lit(1)).alias("n")).collect()
     drop_table(rows)
     reached = np.concatenate([[-1.0], STEPS])
     return model, thresholds(reached[[r["k"] for r in judged]] if judged else np.zeros(0), np.array([r["y"] for r in judged]),
@@ -365,17 +367,18 @@ def thresholds(score: np.ndarray, label: np.ndarray, weight: np.ndarray, lang: n
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", also: tuple[str, ...] = ("doc_id",),
           to: str = "score") -> DataFrame:
-    """The columns ``also`` of ``docs`` and, in ``to``, the score of every whole text."""
+    """The columns ``also`` of ``docs`` and, in ``to``, the score of every whole text, which goes to the workers once."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rest = [c for c in also if c != to]
+    at = rest.index(text_col) if text_col in rest else len(rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tn.slices(batches, 0):
-            s = np.concatenate([np.zeros(0), *_scores(shared.value, batch.column(0))])
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(s)], names=[*rest, to])
+        for batch in tn.slices(batches, at):
+            s = np.concatenate([np.zeros(0), *_scores(shared.value, batch.column(at))])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(rest)], pa.array(s)], names=[*rest, to])
 
-    given = docs.select(F.col(f"`{text_col}`").alias("_scored"), *[F.col(f"`{c}`") for c in rest])
-    return given.mapInArrow(run, T.StructType([*given.schema.fields[1:], T.StructField(to, T.DoubleType())]))
+    given = docs.select(*[F.col(f"`{c}`") for c in rest], *[F.col(f"`{text_col}`").alias("_scored")][:at == len(rest)])
+    return given.mapInArrow(run, T.StructType([*given.schema.fields[:len(rest)], T.StructField(to, T.DoubleType())]))
 
 
 def threshold_of(lang: Column, limits: dict[str, float]) -> Column:

@@ -56,3 +56,37 @@ def test_every_query_is_registered():
     assert names == set(range(1, 14))
     assert set(Q.oracle_sql()) <= set(Q.queries())
     assert [s[0] for s in P.STAGES] == ["toxicity", "line_dedup", "minhash", "decontamination", "byte_bpe"]
+
+
+def test_stages_that_end_in_python_are_written_in_small_batches(spark, tmp_path_factory):
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from quarry.llm import toxicity
+    from quarry.llm.common import BATCH_BYTES, small_batches
+    where = str(tmp_path_factory.mktemp("small"))
+    rows = [(k, ("idiot " if k % 2 else "fine ") * 400, "en", "s", 9) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    spark.createDataFrame([(k, 1, k % 2) for k in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{where}/labels.parquet")
+    for name, stage in P.STAGES:
+        if name in ("toxicity", "byte_bpe"):
+            plan = stage(spark, docs, where)._jdf.queryExecution().executedPlan().toString()
+            assert "MapInArrow" not in plan and name in P.WRITTEN, name       # else the caller's batches would hold: 10,000 texts
+
+    model = toxicity.fresh(0.5)
+    whole = toxicity.score(docs, model, also=tuple(docs.columns), to="_t")
+    given = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert "_scored" not in given                                              # the text goes to the worker once
+    alone = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert {r.doc_id: r._t for r in whole.collect()} == alone and whole.columns == [*docs.columns, "_t"]
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+    long = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("x"), 40_000).alias("text"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    with small_batches(spark):
+        seen = np.array([r.n for r in long.mapInArrow(sizes, "n long").collect()])
+    assert len(seen) > 5 and seen.max() < 2 * BATCH_BYTES
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == before
