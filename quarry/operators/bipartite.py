@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from quarry.operators.cells import _bytes, _own_buckets
+from quarry.operators.factors import dot, seeded_arrays
 from quarry.operators.recsys import I, R, U
 from quarry.session import drop_table, write_bucketed, write_table
 
@@ -174,3 +175,46 @@ class Bipartite:
     def drop(self) -> None:
         for table in (*self.ids, self.cells):
             drop_table(table)
+
+
+def weighed(ratings: DataFrame, weighted: bool, eps: float) -> DataFrame:
+    """(user_id, item_id, w): the entries of the normalised adjacency D^-1/2 A D^-1/2; A is 1 or the rating (none: 0), degrees are sums of it plus ``eps``."""
+    a = F.coalesce(F.col(R).cast("double"), F.lit(0.0)) if weighted else F.lit(1.0)
+    rows = ratings.where(F.col(U).isNotNull() & F.col(I).isNotNull()).select(F.col(U).cast("long").alias(U), F.col(I).cast("long").alias(I), a.alias("a"))
+    both = rows
+    for key in (U, I):
+        both = both.join(rows.groupBy(key).agg((F.sum("a") + eps).alias(f"_d{key}")), key)
+    return both.select(U, I, F.coalesce(F.try_divide("a", F.sqrt(F.col(f"_d{U}") * F.col(f"_d{I}"))), F.lit(0.0)).alias("w"))
+
+
+def propagated(ratings: DataFrame, dim: int, layers: int, weighted: bool = False, eps: float = 0.0, scale: float = 0.2,
+               seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(id, val) of users and of items: as ``gcn.propagate`` from ``gcn.seeded_embeddings`` over all of them, with the ratings in cells."""
+    rows = write_table(weighed(ratings, weighted, eps), "gcn-weights")
+    tags = {U: "u:", I: "i:"}
+    first = [seeded_arrays(rows.select(F.concat(F.lit(t), F.col(k).cast("string")).alias("node")).distinct(), dim, scale, seed).select(
+        F.expr("substring(node, 3)").cast("long").alias("id"), "val") for k, t in tags.items()]
+    grid = Bipartite(rows.select(U, I, "w", F.lit(0.0).alias(R), F.lit(False).alias("held")), rows.count(), 0.0)
+    own = at = grid.start(first, dim)
+    for k in range(layers):
+        share = 1.0 if k < layers - 1 else 1.0 / (layers + 1)
+        at = grid.met(at, dim, spread, lambda total, e, share=share: ((e + total) * share, []), own)
+    final = write_table(at, "gcn-final")
+    out = tuple(write_table(grid.rows(final, side, dim), "gcn-final") for side in (USERS, ITEMS))
+    for table in (rows, own, final):
+        drop_table(table)
+    grid.drop()
+    return out
+
+
+def tagged(users: DataFrame, items: DataFrame) -> DataFrame:
+    """(node, f, val): a row a factor, nodes named u:<id> and i:<id>."""
+    sides = [side.select(F.concat(F.lit(t), F.col("id").cast("string")).alias("node"), F.posexplode("val").alias("f", "val"))
+             for side, t in ((users, "u:"), (items, "i:"))]
+    return sides[0].unionByName(sides[1])
+
+
+def products(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """(user_id, item_id, score): dot products for the pairs whose user and item are known."""
+    return (pairs.select(U, I).join(users.select(F.col("id").alias(U), F.col("val").alias("_p")), U)
+            .join(items.select(F.col("id").alias(I), F.col("val").alias("_q")), I).select(U, I, dot(F.col("_p"), F.col("_q")).alias("score")))

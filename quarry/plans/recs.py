@@ -286,38 +286,41 @@ def _gcn_sql(weighted: bool, eps: float, layers: int | None, body: str) -> str:
     return with_ctes(body, "train", "test", extra=ctes)
 
 
-def _gcn(spark, sf_dir, weighted, eps, layers):
+def _gcn(spark, sf_dir, weighted, eps):
     from quarry.operators import gcn
-    tr = train_ratings(spark, sf_dir)
-    ne = gcn.normalized_edges(gcn.bipartite_edges(tr, "score" if weighted else None), eps)
-    if layers is None:
-        return ne
-    nodes = ne.select(F.col("src").alias("node")).distinct()
-    return gcn.propagate(ne, gcn.seeded_embeddings(nodes, GCN_DIM), layers)
+    return gcn.normalized_edges(gcn.bipartite_edges(train_ratings(spark, sf_dir), "score" if weighted else None), eps)
+
+
+def _propagated(spark, sf_dir, weighted, layers):
+    """(id, val) of users and of items."""
+    from quarry.operators import bipartite
+    return bipartite.propagated(train_ratings(spark, sf_dir), GCN_DIM, layers, weighted)
 
 
 @register("gcn_norm_edges", sql=lambda: _gcn_sql(False, 0.0, None, "SELECT src, dst, round(w, 9) AS w FROM ne"))
 def q_gcn_norm(spark, sf_dir):
     """D^-1/2 A D^-1/2 of the train bipartite graph (edge weight 1)."""
-    return _r(_gcn(spark, sf_dir, False, 0.0, None), "w")
+    return _r(_gcn(spark, sf_dir, False, 0.0), "w")
 
 
 @register("gcn_norm_edges_weighted", sql=lambda: _gcn_sql(True, 1e-10, None, "SELECT src, dst, round(w, 9) AS w FROM ne"))
 def q_gcn_norm_w(spark, sf_dir):
     """Ratings as edge weights, degree + 1e-10."""
-    return _r(_gcn(spark, sf_dir, True, 1e-10, None), "w")
+    return _r(_gcn(spark, sf_dir, True, 1e-10), "w")
 
 
 @register("gcn_propagate", sql=lambda: _gcn_sql(False, 0.0, 3, "SELECT node, f, round(val, 9) AS val FROM fin"))
 def q_gcn_prop(spark, sf_dir):
     """Mean of layers 0..3 of A_hat propagation from seeded embeddings."""
-    return _r(_gcn(spark, sf_dir, False, 0.0, 3), "val")
+    from quarry.operators import bipartite
+    return _r(bipartite.tagged(*_propagated(spark, sf_dir, False, 3)), "val")
 
 
 @register("gcn_propagate_weighted", sql=lambda: _gcn_sql(True, 0.0, 2, "SELECT node, f, round(val, 9) AS val FROM fin"))
 def q_gcn_prop_w(spark, sf_dir):
     """Rating-weighted adjacency, two layers."""
-    return _r(_gcn(spark, sf_dir, True, 0.0, 2), "val")
+    from quarry.operators import bipartite
+    return _r(bipartite.tagged(*_propagated(spark, sf_dir, True, 2)), "val")
 
 
 @register("gcn_scores", sql=lambda: _gcn_sql(False, 0.0, 3, """
@@ -326,9 +329,8 @@ JOIN fin u ON u.node = 'u:' || CAST(t.user_id AS VARCHAR)
 JOIN fin i ON i.node = 'i:' || CAST(t.item_id AS VARCHAR) AND i.f = u.f GROUP BY t.user_id, t.item_id"""))
 def q_gcn_scores(spark, sf_dir):
     """H12 scoring: dot product of propagated user and item embeddings for the test pairs."""
-    from quarry.operators import gcn
-    emb = _gcn(spark, sf_dir, False, 0.0, 3)
-    return _r(gcn.score_pairs(emb, test_ratings(spark, sf_dir)), "score")
+    from quarry.operators import bipartite
+    return _r(bipartite.products(test_ratings(spark, sf_dir), *_propagated(spark, sf_dir, False, 3)), "score")
 
 
 GRID = (0.0, 2.0, 5.0, 10.0, 25.0)

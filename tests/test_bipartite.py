@@ -56,3 +56,24 @@ def test_training_on_a_grid(spark, weighted, sides):
     error = F.sqrt(F.avg(F.pow(F.col("pred") - F.col("score"), 2)))
     scored = M.lightgcn_scores(valid, model).join(valid, ["user_id", "item_id"]).agg(error).first()[0]
     assert scored == pytest.approx(min(history), rel=1e-8)
+
+
+@pytest.mark.parametrize("weighted, layers", [(False, 3), (True, 2)])
+def test_propagation_in_cells_is_that_of_the_edges(spark, monkeypatch, weighted, layers):
+    """The same embeddings and scores as by joins of edges, and the ratings meet no vectors in a shuffle."""
+    from quarry.operators import bipartite as B
+    from quarry.operators import gcn
+    monkeypatch.setattr(B, "FEW", 8)
+    rng = np.random.default_rng(8)
+    rows = [(u, i, float(rng.integers(1, 6))) for u in range(12) for i in range(9) if rng.random() < 0.4 or i == u] + [(None, 1, 2.0), (3, None, 1.0)]
+    train, plans, write = spark.createDataFrame(rows, SCHEMA), [], B.write_table
+    monkeypatch.setattr(B, "write_table", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or write(df, name))
+    users, items = B.propagated(train, 3, layers, weighted)
+    assert "Bucketed: true" in dict(plans[:-2])["gcn-final"]
+    edges = gcn.normalized_edges(gcn.bipartite_edges(train.dropna(), "score" if weighted else None))
+    emb = gcn.propagate(edges, gcn.seeded_embeddings(edges.select(F.col("src").alias("node")).distinct(), 3), layers)
+    want = {(r.node, r.f): r.val for r in emb.collect()}
+    assert {(r.node, r.f): r.val for r in B.tagged(users, items).collect()} == pytest.approx(want, abs=1e-12)
+    pairs = spark.createDataFrame([(0, 0), (1, 5), (99, 1), (2, 99)], "user_id long, item_id long")
+    scores = {(r.user_id, r.item_id): r.score for r in gcn.score_pairs(emb, pairs).collect()}
+    assert {(r.user_id, r.item_id): r.score for r in B.products(pairs, users, items).collect()} == pytest.approx(scores, abs=1e-12)
